@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregauge.functions.calendar import month_label
 from faregauge.operators import dimensions, keys
 from faregauge.operators.clean import clean_trips
 from faregauge.operators.fact import TRIP_ORDER, build_fact, by_month
@@ -20,7 +21,7 @@ from faregauge.plans.star import StarSchema
 from faregauge.settings import CleanRules
 from faregauge.sources.files import path_exists
 from faregauge.streaming import months
-from faregauge.streaming.loading import SOURCE, load_new_files, read_staging
+from faregauge.streaming.loading import load_new_files, read_staging
 
 
 @dataclass
@@ -58,23 +59,25 @@ class MonthlyJob:
         step = months.next_batch_month(finished, self.first, self.last)
         plan = step.first()
         if not plan["is_valid"]:
-            self.rebuild(None)
+            self.extend_dimensions(self.read("cleaned"))
+            self.rebuild_fact(None)
             return self.spark.createDataFrame([plan], step.schema)
         month = date(plan["year"], plan["month"], 1)
         load_new_files(
             self.spark, [self.trip_file(month)], self.path("staging"), self.path("files")
         )
-        self.rebuild(self.clean_month(month))
+        batch = self.clean_month(month)
+        self.extend_dimensions(batch)
+        self.rebuild_fact(batch)
         months.mark_batch_complete(self.spark, self.path("months"), month)
         return self.spark.createDataFrame([plan], step.schema)
 
-    def clean_month(self, month: date) -> list[str]:
-        """Clean the rows of one file; returns the pickup months they fall into.
-
-        The clean rules keep a single year, so there are at most twelve.
-        """
+    def clean_month(self, month: date) -> DataFrame:
+        """Clean and store the rows of one file; only its partition is replaced."""
         name = self.trip_file(month).rstrip("/").split("/")[-1]
-        raw = read_staging_of(self.spark, self.path("staging"), name)
+        raw = read_staging(self.spark, self.path("staging"), name)
+        if raw.isEmpty():
+            raise ValueError(f"no trips were loaded from {name}")
         label = f"{month:%Y-%m}"
         cleaned = clean_trips(raw, self.rules).withColumn("batch_month", F.lit(label))
         (
@@ -83,51 +86,27 @@ class MonthlyJob:
             .partitionBy("batch_month")
             .parquet(self.path("cleaned"))
         )
-        stored = self.read("cleaned").where(F.col("batch_month") == label)
-        touched = stored.select(month_label(F.col("pickup_datetime")).alias("m")).distinct()
-        return sorted(row["m"] for row in touched.collect())
-
-    def rebuild(self, touched: Sequence[str] | None) -> None:
-        """Bring dimensions and fact up to date for some pickup months, or for all."""
-        cleaned = self.read("cleaned").drop("batch_month")
-        dates = dimensions.calendar_columns(dimensions.distinct_dates(cleaned))
-        self.extend("dim_time", "time_key", "date_key", dates)
-        ids = dimensions.union_locations(cleaned)
-        self.extend(
-            "dim_location",
-            "location_key",
-            "location_id",
-            dimensions.zone_attributes(ids, self.zones()).withColumn(
-                "created_at", F.current_timestamp()
-            ),
-        )
+        return self.read("cleaned").where(F.col("batch_month") == label)
+
+    def extend_dimensions(self, batch: DataFrame) -> None:
+        """Add the dates, zones and weather days that the dimensions lack."""
+        dates = dimensions.calendar_columns(dimensions.distinct_dates(batch))
+        self.extend("dim_time", "time_key", "date_key", dates, one_per_day=True)
+        zones = dimensions.zone_attributes(dimensions.union_locations(batch), self.zones())
+        stamped = zones.withColumn("created_at", F.current_timestamp())
+        self.extend("dim_location", "location_key", "location_id", stamped)
         try:
             days = dimensions.weather_attributes(transform_weather(forward_fill(self.weather())))
-            self.extend(
-                "dim_weather",
-                "weather_key",
-                "date_key",
-                days.withColumn("loaded_at", F.current_timestamp()),
-            )
+            stamped = days.withColumn("loaded_at", F.current_timestamp())
+            self.extend("dim_weather", "weather_key", "date_key", stamped)
         except Exception as error:  # weather is optional: keep what is stored
             if not path_exists(self.spark, self.path("dim_weather")):
                 raise
             warnings.warn(f"weather not refreshed: {error}", stacklevel=2)
-        if touched is not None:
-            label = month_label(F.col("pickup_datetime"))
-            cleaned = cleaned.where(label.isin(*touched))
-        rows = build_fact(
-            cleaned, self.read("dim_time"), self.read("dim_location"), self.read("dim_weather")
-        )
-        keys.stage_ordered(
-            by_month(rows),
-            TRIP_ORDER,
-            self.path("fact"),
-            MONTH_PARTITION,
-            touched_only=touched is not None,
-        )
 
-    def extend(self, name: str, key: str, member: str, candidates: DataFrame) -> None:
+    def extend(
+        self, name: str, key: str, member: str, candidates: DataFrame, one_per_day: bool = False
+    ) -> None:
         """Append the members a dimension lacks, numbered after the present ones.
 
         Keys that stored trips use never change, which is what allows to leave
@@ -137,20 +116,46 @@ class MonthlyJob:
         highest = 0
         if path_exists(self.spark, path):
             present = self.read(name)
-            highest = present.agg(F.max(key)).first()[0] or 0
             candidates = candidates.join(present.select(member), member, "left_anti")
-        numbered = keys.dense_key(candidates, [member], key, self.path(f"_{name}"))
+            if candidates.isEmpty():
+                return
+            highest = present.agg(F.max(key)).first()[0]
+        if one_per_day:
+            numbered = keys.dimension_key(candidates, member, key)
+        else:
+            numbered = keys.dense_key(candidates, [member], key, self.path(f"_{name}"))
         numbered.withColumn(key, F.col(key) + highest).write.mode("append").parquet(path)
 
+    def rebuild_fact(self, batch: DataFrame | None) -> None:
+        """Rewrite the pickup months a batch falls into, or all of them.
+
+        A batch touches at most twelve months, as the clean rules keep one year.
+        Its months are read back as time ranges, which file statistics can answer.
+        """
+        cleaned = self.read("cleaned").drop("batch_month")
+        if batch is not None:
+            first = F.trunc("pickup_datetime", "month")
+            touched = [row[0] for row in batch.select(first).distinct().collect()]
+            pickup = F.col("pickup_datetime")
+            ranges = [
+                (pickup >= F.lit(m).cast("timestamp_ntz"))
+                & (pickup < F.add_months(F.lit(m), 1).cast("timestamp_ntz"))
+                for m in touched
+            ]
+            cleaned = cleaned.where(reduce(or_, ranges, F.lit(False)))
+        rows = build_fact(
+            cleaned, self.read("dim_time"), self.read("dim_location"), self.read("dim_weather")
+        )
+        keys.stage_ordered(
+            by_month(rows),
+            TRIP_ORDER,
+            self.path("fact"),
+            MONTH_PARTITION,
+            touched_only=batch is not None,
+        )
+
     def fact(self) -> DataFrame:
         """The fact table with dense trip keys."""
         staged = self.read("fact")
         offsets = keys.key_offsets(staged, StarSchema.FACT_RANGES)
         return keys.numbered(staged, offsets, StarSchema.FACT_RANGES, "trip_id")
-
-
-def read_staging_of(spark: SparkSession, staging: str, name: str) -> DataFrame:
-    """Trips of one source file; its partition alone is read."""
-    if not path_exists(spark, f"{staging}/{SOURCE}={name}"):
-        raise ValueError(f"{name} was never loaded")
-    return read_staging(spark, f"{staging}/{SOURCE}={name}")

@@ -36,8 +36,17 @@ def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     return files.select("path", "length", "modificationTime")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """File system and path object of ``path``, whatever store it is on."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    return not list_files(spark, path).isEmpty()
+    """Whether there is a file or directory; one call to the store, no job."""
+    files, target = hadoop_path(spark, path)
+    return files.exists(target)
 
 
 def discover_files(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from faregauge.schemas import FILE_LEDGER, TRIPS_RAW
 from faregauge.sources.files import empty_table, path_exists, scan_trips
@@ -103,6 +103,10 @@ def source_name(paths: Sequence[str]):
     return F.regexp_extract("_metadata.file_path", f"/(?:{'|'.join(parents)})/([^/]+)", 1)
 
 
-def read_staging(spark: SparkSession, staging: str) -> DataFrame:
-    """All trips loaded so far."""
-    return spark.read.schema(TRIPS_RAW).parquet(staging)
+def read_staging(spark: SparkSession, staging: str, source: str | None = None) -> DataFrame:
+    """Trips loaded so far, or those of one source file, whose partition alone is read."""
+    schema = StructType([*TRIPS_RAW, StructField(SOURCE, StringType())])
+    trips = spark.read.schema(schema).parquet(staging)
+    if source is not None:
+        trips = trips.where(F.col(SOURCE) == source)
+    return trips.drop(SOURCE)

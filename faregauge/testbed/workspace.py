@@ -13,6 +13,7 @@ from faregauge.operators import weather, zones
 from faregauge.plans import models
 from faregauge.plans.star import StarSchema, TableStore
 from faregauge.session import configure, shared_dir
+from faregauge.sources.files import hadoop_path
 from faregauge.sources.sinks import write_mart, write_zone_csv
 from faregauge.sources.zones import scan_zone_lookup_raw
 from faregauge.testbed import tables
@@ -22,12 +23,9 @@ INPUTS = ("lineitem", "orders", "customer", "nation", "region")
 
 def fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Changes when one of the input tables does: size, file count and time of each."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     facts = []
     for name in INPUTS:
-        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        files = path.getFileSystem(conf)
+        files, path = hadoop_path(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
         size = files.getContentSummary(path)
         changed = files.getFileStatus(path).getModificationTime()
         facts.append((name, size.getLength(), size.getFileCount(), changed))
