@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -91,57 +94,66 @@ def evaluate(predictions: DataFrame, label: str, *by: str) -> DataFrame:
     return predictions.groupBy(*by).agg(*error_measures(label))
 
 
-def cross_validate(rows: DataFrame, forest: Forest) -> DataFrame:
+def cross_validate(rows: DataFrame, forest: Forest, parallel: int = 5) -> DataFrame:
     """Errors on each held-out fold of the training part.
 
-    One fit per fold serves all three measures.
+    One fit per fold serves all three measures, and folds are fitted side by side.
     """
     training = rows.where("is_training")
-    result = None
-    for k in range(forest.folds):
+
+    def held_out(k: int) -> DataFrame:
         model = fit(training.where(F.col("fold") != k), forest)
-        held_out = model.transform(training.where(F.col("fold") == k))
-        errors = evaluate(held_out, forest.target).withColumn("fold", F.lit(k))
-        result = errors if result is None else result.unionByName(errors)
-    return result
+        scored = model.transform(training.where(F.col("fold") == k))
+        return evaluate(scored, forest.target).withColumn("fold", F.lit(k))
+
+    with ThreadPool(parallel) as pool:
+        task = inheritable_thread_target(rows.sparkSession)(held_out)
+        return reduce(DataFrame.unionByName, pool.map(task, range(forest.folds)))
+
+
+def in_memory(rows: DataFrame, per_partition: int = 10_000) -> DataFrame:
+    """Rows kept for several fits, in few partitions.
+
+    Every partition sends statistics of all open nodes, so too many of them
+    cost more than they save. The cap on the rows bounds the number.
+    """
+    spark = rows.sparkSession
+    parts = min(spark.sparkContext.defaultParallelism, rows.count() // per_partition + 1)
+    return rows.repartition(parts, "feature_id").persist()
 
 
 def train(features: DataFrame, forest: Forest, path: str | None = None) -> DataFrame:
     """Fit, cross-validate and evaluate one forest; saves the model under ``path``.
 
-    Returns one row of metrics. The rows are bounded by the cap and used by
-    several fits, so they are kept in memory and spread over all cores.
+    Returns one row of metrics.
     """
     spark = features.sparkSession
-    rows = training_rows(features, forest).repartition(
-        spark.sparkContext.defaultParallelism, "feature_id"
-    ).persist()
+    rows = in_memory(training_rows(features, forest))
     try:
         model = fit(rows.where("is_training"), forest)
         if path:
             model.write().overwrite().save(path)
-        scored = evaluate(model.transform(rows), forest.target, "is_training")
-        by_part = {row["is_training"]: row for row in scored.collect()}
-        folds = cross_validate(rows, forest).agg(*[F.avg(c).alias(c) for c in ("rmse", "mae", "r2")])
-        cv = folds.first()
-        sizes = rows.agg(
-            F.count_if("is_training").alias("train"), F.count_if(~F.col("is_training")).alias("test")
-        ).first()
+        folds = cross_validate(rows, forest)
+        cv = folds.agg(*[F.avg(c).alias(f"cv_{c}") for c in ("rmse", "mae", "r2")]).first()
+        scored = model.transform(rows).groupBy("is_training").agg(
+            *error_measures(forest.target), F.count("*").alias("n")
+        )
+        parts = {row["is_training"]: row for row in scored.collect()}
     finally:
         rows.unpersist()
-    test = by_part.get(False)
+    training, test = parts[True], parts.get(False)
     return spark.createDataFrame(
         [
             (
                 forest.name,
-                cv["rmse"],
-                cv["mae"],
-                cv["r2"],
-                by_part[True]["rmse"],
+                cv["cv_rmse"],
+                cv["cv_mae"],
+                cv["cv_r2"],
+                training["rmse"],
                 test["rmse"] if test else None,
                 test["r2"] if test else None,
-                sizes["train"],
-                sizes["test"],
+                training["n"],
+                test["n"] if test else 0,
             )
         ],
         "model string, cv_rmse double, cv_mae double, cv_r2 double, train_rmse double,"
@@ -224,8 +236,4 @@ def load_model(path: str) -> PipelineModel:
 
 def all_metrics(metrics: Mapping[str, DataFrame]) -> DataFrame:
     """Metrics of several models, one row each."""
-    frames = list(metrics.values())
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    return reduce(DataFrame.unionByName, metrics.values())

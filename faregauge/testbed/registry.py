@@ -19,7 +19,7 @@ from faregauge.sources import zones as zone_source
 from faregauge.streaming import loading, months
 from faregauge.testbed import tables
 from faregauge.testbed.tables import RULES, WINDOW
-from faregauge.testbed.workspace import Workspace
+from faregauge.testbed.workspace import FORESTS, Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -259,7 +259,7 @@ def _(w: Workspace):
         models.evaluate(
             models.load_model(w.model_path(forest)).transform(w.star.features()), forest.target
         ).withColumn("model", F.lit(forest.name))
-        for forest in (models.TIP, models.DURATION)
+        for forest in FORESTS
     ]
     return scored[0].unionByName(scored[1])
 

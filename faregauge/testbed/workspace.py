@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from dataclasses import replace
 from functools import cached_property
 from itertools import count
 
@@ -20,6 +21,12 @@ from faregauge.testbed import tables
 
 INPUTS = ("lineitem", "orders", "customer", "nation", "region")
 
+# Small forests: the full ones take a quarter of an hour even on a few thousand rows.
+FORESTS = (
+    replace(models.TIP, trees=20, depth=8),
+    replace(models.DURATION, trees=20, depth=10),
+)
+
 
 def fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Changes when one of the input tables does: size, file count and time of each."""
@@ -126,8 +133,8 @@ class Workspace:
         """Both forests, trained once and saved; their metrics by name."""
         features = self.star.features()
         return {
-            forest.name: models.train(features, forest, self.model_path(forest)).cache()
-            for forest in (models.TIP, models.DURATION)
+            forest.name: models.train(features, forest, self.model_path(forest))
+            for forest in FORESTS
         }
 
     def model_path(self, forest: models.Forest) -> str:
@@ -142,7 +149,7 @@ class Workspace:
                 models.importances(
                     self.spark, models.load_model(self.model_path(forest)), f"importance_{kind}"
                 )
-                for forest, kind in ((models.TIP, "tip"), (models.DURATION, "duration"))
+                for forest, kind in zip(FORESTS, ("tip", "duration"), strict=True)
             ]
             write_mart(models.feature_importance(*sides), path)
 
