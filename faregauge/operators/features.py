@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faregauge.operators.keys import dense_key
+from faregauge.operators.keys import broadcast_if_small, dense_key
 from faregauge.operators.medians import exact_medians
 from faregauge.sources.files import find_column
 
@@ -92,7 +92,13 @@ def impute_median(rows: DataFrame, columns: Sequence[str] = NUMERIC) -> DataFram
     and the replacement itself stays lazy. A column without values stays NULL.
     """
     numbers = as_numbers(rows, columns)
-    return fill_numbers(numbers, exact_medians(numbers, columns))
+    return fill_numbers(numbers, exact_medians(numbers, columns_with_gaps(numbers, columns)))
+
+
+def columns_with_gaps(rows: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns with some values and some NULLs: only those need a median."""
+    counts = rows.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in columns]).first()
+    return [c for c in columns if 0 < counts[c] < counts["_rows"]]
 
 
 def encode_borough(rows: DataFrame, staging: str) -> DataFrame:
@@ -100,7 +106,7 @@ def encode_borough(rows: DataFrame, staging: str) -> DataFrame:
     named = rows.withColumn("borough", F.coalesce("borough", F.lit(NO_BOROUGH)))
     codes = dense_key(named.select("borough").distinct(), ["borough"], "_code", staging)
     code: Column = (F.col("_code") - 1).cast("int").alias("borough_enc")
-    return named.join(codes.select("borough", code), "borough")
+    return named.join(broadcast_if_small(codes.select("borough", code)), "borough")
 
 
 def flags_to_int(rows: DataFrame) -> DataFrame:

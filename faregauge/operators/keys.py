@@ -57,6 +57,25 @@ def stage_ordered(
     (write.partitionBy(partition_by) if partition_by else write).parquet(path)
 
 
+def sorted_evenly(rows: DataFrame, *keys: Column) -> DataFrame:
+    """Global sort whose ranges stay even when many rows share a key.
+
+    A sort on the keys alone puts all rows of one key into one task; the running
+    id lets it end in the middle of them.
+    """
+    tied = rows.withColumn("_tie", F.monotonically_increasing_id())
+    return tied.orderBy(*keys, "_tie").drop("_tie")
+
+
+def broadcast_if_small(table: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``table`` with a broadcast hint if it has at most ``rows`` rows.
+
+    Counts no further than the limit. A larger table is left to the planner,
+    which shuffles both sides and splits hot keys.
+    """
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
 def key_offsets(staged: DataFrame, by: Sequence[str]) -> DataFrame:
     """What to add to ``row_no`` in every range to number all rows through.
 

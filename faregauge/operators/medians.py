@@ -20,6 +20,8 @@ def exact_medians(table: DataFrame, columns: Sequence[str]) -> dict[str, float |
     value. A pass is one scan with map-side partials, and the driver sees at most
     a fixed number of bins per column.
     """
+    if not columns:
+        return {}
     wide = table.select([F.col(c).cast("double").alias(c) for c in columns])
     summary = wide.agg(
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
@@ -32,58 +34,65 @@ def exact_medians(table: DataFrame, columns: Sequence[str]) -> dict[str, float |
     ).first()
     found: dict[str, list[float]] = {c: [] for c in columns}
     # An open search: column, rank among all values, bracket that may hold it.
-    open_searches = []
+    searches = []
     for i, c in enumerate(columns):
         n = summary[f"n_{i}"]
         for rank in sorted({(n - 1) // 2, n // 2}) if n else ():
-            low, high = summary[f"q_{i}"]
-            open_searches.append((c, rank, low, high, summary[f"lo_{i}"], summary[f"hi_{i}"]))
-    values = wide.unpivot([], list(columns), "name", "value").where(F.col("value").isNotNull())
-    while open_searches:
+            searches.append((c, rank, *summary[f"q_{i}"]))
+    limits = {c: (summary[f"lo_{i}"], summary[f"hi_{i}"]) for i, c in enumerate(columns)}
+    while searches:
+        histograms = _histograms(wide, {(c, low, high) for c, _, low, high in searches})
         still_open = []
-        for (name, rank, low, high, floor, ceiling), bins in zip(
-            open_searches, _histograms(values, open_searches), strict=True
-        ):
-            below = bins.pop(-1, (0, None, None))
-            above = bins.pop(_BINS, (0, None, None))
-            seen = below[0]
-            if rank < seen:
-                # The bracket missed: the rank lies below it.
-                still_open.append((name, rank, floor, below[2], floor, below[2]))
-                continue
-            for _, (count, least, greatest) in sorted(bins.items()):
-                if rank < seen + count:
-                    break
-                seen += count
-            else:
-                still_open.append((name, rank, above[1], ceiling, above[1], ceiling))
-                continue
+        for c, rank, low, high in searches:
+            least, greatest = _narrow(histograms[c, low, high], rank, limits[c])
             if least == greatest:
-                found[name].append(least)
+                found[c].append(least)
             else:
-                still_open.append((name, rank, least, greatest, least, greatest))
-        open_searches = still_open
+                still_open.append((c, rank, least, greatest))
+        searches = still_open
     return {c: sum(v) / len(v) if v else None for c, v in found.items()}
 
 
-def _histograms(values: DataFrame, searches) -> list[dict[int, tuple]]:
-    """Count, least and greatest value per bin for each search; -1 and _BINS are outside."""
-    jobs = []
-    for i, (name, _, low, high, _, _) in enumerate(searches):
-        inside = F.floor((F.col("value") - low) / max(high - low, 5e-324) * _BINS)
-        bin_no = (
-            F.when(F.col("value") < low, -1)
-            .when(F.col("value") > high, _BINS)
-            .otherwise(F.least(inside.cast("int"), F.lit(_BINS - 1)))
+def _narrow(bins: dict[int, tuple], rank: int, limits: tuple) -> tuple[float, float]:
+    """Least and greatest value of the bin that holds ``rank``.
+
+    Bins -1 and _BINS collect what lies outside the bracket. When the approximate
+    percentiles missed the rank, the search goes on between them and the limits.
+    """
+    seen = 0
+    for number, (count, least, greatest) in sorted(bins.items()):
+        seen += count
+        if rank < seen:
+            if number == -1:
+                return limits[0], greatest
+            return (least, limits[1]) if number == _BINS else (least, greatest)
+    raise ValueError("rank beyond the number of values")
+
+
+def _histograms(wide: DataFrame, brackets: set[tuple]) -> dict[tuple, dict[int, tuple]]:
+    """Count, least and greatest value per bin of each bracket, from one scan."""
+    ordered = sorted(brackets)
+    places = []
+    for i, (name, low, high) in enumerate(ordered):
+        value = F.col(name)
+        step = F.floor((value - low) / max(high - low, 5e-324) * _BINS).cast("int")
+        number = (
+            F.when(value < low, -1)
+            .when(value > high, _BINS)
+            .otherwise(F.least(step, F.lit(_BINS - 1)))
         )
-        jobs.append(F.when(F.col("name") == name, F.struct(F.lit(i).alias("i"), bin_no.alias("b"))))
-    binned = values.select("value", F.explode(F.array_compact(F.array(*jobs))).alias("job"))
+        places.append(F.struct(F.lit(i).alias("i"), number.alias("bin"), value.alias("value")))
+    placed = wide.select(F.explode(F.array(*places)).alias("p")).where("p.value IS NOT NULL")
     rows = (
-        binned.groupBy("job.i", "job.b")
-        .agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("greatest"))
+        placed.groupBy("p.i", "p.bin")
+        .agg(
+            F.count("*").alias("n"),
+            F.min("p.value").alias("least"),
+            F.max("p.value").alias("greatest"),
+        )
         .collect()
     )
-    result: list[dict[int, tuple]] = [{} for _ in searches]
+    result: dict[tuple, dict[int, tuple]] = {bracket: {} for bracket in ordered}
     for row in rows:
-        result[row["i"]][row["b"]] = (row["n"], row["least"], row["greatest"])
+        result[ordered[row["i"]]][row["bin"]] = (row["n"], row["least"], row["greatest"])
     return result

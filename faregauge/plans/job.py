@@ -18,6 +18,7 @@ from faregauge.operators.fact import TRIP_ORDER, build_fact, by_month
 from faregauge.operators.filters import MONTH_PARTITION
 from faregauge.operators.weather import forward_fill, transform_weather
 from faregauge.plans.star import StarSchema
+from faregauge.session import configure
 from faregauge.settings import CleanRules
 from faregauge.sources.files import path_exists
 from faregauge.streaming import months
@@ -42,6 +43,9 @@ class MonthlyJob:
     first: date = months.FIRST_MONTH
     last: date = months.LAST_MONTH
 
+    def __post_init__(self) -> None:
+        configure(self.spark)
+
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 

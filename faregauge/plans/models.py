@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from faregauge.operators.features import (
     WEATHER_FEATURES,
+    columns_with_gaps,
     drop_empty_columns,
     fill_numbers,
     sample_cap,
@@ -60,8 +61,7 @@ def training_rows(features: DataFrame, forest: Forest) -> DataFrame:
     """Capped, filled and split rows for one model."""
     usable = drop_empty_columns(features, forest.target)
     numeric = [c for c in usable.columns if c not in _BOOKKEEPING]
-    gaps = usable.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in numeric]).first()
-    gappy = [c for c in numeric if gaps[c]]
+    gappy = columns_with_gaps(usable, numeric)
     if gappy:
         usable = fill_numbers(usable, exact_medians(usable, gappy))
     capped = sample_cap(usable, forest.rows, seed=forest.seed)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from faregauge.functions.labels import anomaly_label, flag_count
 from faregauge.operators.clean import PICKUP, is_clean, raw_minutes
 from faregauge.operators.filters import outside_dates, positive_total
+from faregauge.operators.keys import sorted_evenly
 from faregauge.settings import ZONE_ID_RANGE, CleanRules, Window
 
 
@@ -103,7 +104,8 @@ def dq_temporal(raw: DataFrame, window: Window = Window()) -> DataFrame:
 def dq_temporal_rows(raw: DataFrame, window: Window = Window()) -> DataFrame:
     """All pickups outside the reporting window in time order."""
     columns = ("passenger_count", "fare_amount", "trip_distance", "PULocationID", "DOLocationID")
-    return outside_dates(raw, window, PICKUP).select(PICKUP, *columns).orderBy(PICKUP)
+    rows = outside_dates(raw, window, PICKUP).select(PICKUP, *columns)
+    return sorted_evenly(rows, F.col(PICKUP))
 
 
 def money_tests() -> dict[str, tuple[Column, str]]:

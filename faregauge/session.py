@@ -18,11 +18,26 @@ RUNTIME_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply ``RUNTIME_CONF`` to an existing session and return it."""
+# Input bytes per shuffle partition before adaptive execution merges small ones.
+BYTES_PER_PARTITION = 64 << 20
+MAX_PARTITIONS = 200_000
+
+
+def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Apply ``RUNTIME_CONF`` to an existing session and return it.
+
+    Adaptive execution merges shuffle partitions but starts from a fixed number,
+    which at the default would leave hundreds of gigabytes in each at 100 TB. With
+    ``input_bytes`` the start grows with the input; it is never lowered.
+    """
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    present = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(input_bytes // BYTES_PER_PARTITION, MAX_PARTITIONS)
+    if wanted > present:
+        spark.conf.set(initial, str(wanted))
     return spark
 
 

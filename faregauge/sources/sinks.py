@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from faregauge.operators.keys import sorted_evenly
+
 
 def write_mart(table: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace a stored table with the rows of ``table``.
@@ -35,7 +37,7 @@ def write_zone_csv(zones: DataFrame, path: str) -> None:
     The sort partitions by range and adaptive execution merges small ranges, so
     a usual zone table is one file and a huge one never passes through one task.
     """
-    zones.orderBy("location_id").write.mode("overwrite").csv(path, header=True)
+    sorted_evenly(zones, F.col("location_id")).write.mode("overwrite").csv(path, header=True)
 
 
 def write_csv(table: DataFrame, path: str) -> None:

@@ -83,9 +83,9 @@ def load_new_files(spark: SparkSession, paths: Sequence[str], staging: str, ledg
             raise ValueError("no trip file could be loaded")
         return empty_table(spark, FILE_LEDGER)
     rows = scan_trips(spark, sorted(new)).withColumn(SOURCE, source_name(sorted(new)))
+    # No shuffle: a task reads few files and so writes few partitions.
     (
-        rows.hint("rebalance", SOURCE)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(SOURCE)
         .parquet(staging)

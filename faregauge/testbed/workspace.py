@@ -28,15 +28,19 @@ FORESTS = (
 )
 
 
-def fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Changes when one of the input tables does: size, file count and time of each."""
+def inspect(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """A mark that changes when an input table does, and the size of all of them.
+
+    Size, file count and time of each table go into the mark.
+    """
     facts = []
     for name in INPUTS:
         files, path = hadoop_path(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
         size = files.getContentSummary(path)
         changed = files.getFileStatus(path).getModificationTime()
         facts.append((name, size.getLength(), size.getFileCount(), changed))
-    return hashlib.md5(f"{sf_dir}{facts}".encode()).hexdigest()[:12]
+    mark = hashlib.md5(f"{sf_dir}{facts}".encode()).hexdigest()[:12]
+    return mark, sum(length for _, length, _, _ in facts)
 
 
 class Workspace:
@@ -59,8 +63,8 @@ class Workspace:
 
     @classmethod
     def open(cls, spark: SparkSession, sf_dir: str) -> Workspace:
-        configure(spark)
-        mark = fingerprint(spark, sf_dir)
+        mark, size = inspect(spark, sf_dir)
+        configure(spark, size)
         key = (spark.sparkContext.applicationId, mark)
         if key not in cls._open:
             cls._open[key] = cls(spark, sf_dir, f"{shared_dir(spark)}/{mark}")
