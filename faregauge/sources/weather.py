@@ -52,7 +52,9 @@ def flatten_payload(documents: DataFrame) -> DataFrame:
             F.raise_error(F.lit("weather response without hourly times"))
         ),
     )
-    rows = checked.select(F.inline(F.arrays_zip(*[F.col(f"hourly.{name}") for name in fields])))
+    # A missing array would make the whole zip NULL; an empty one is padded.
+    arrays = [F.coalesce(f"hourly.{name}", F.array()).alias(name) for name in fields]
+    rows = checked.select(*arrays).select(F.inline(F.arrays_zip(*fields)))
     code = F.col("weather_code")
     return rows.select(
         F.to_timestamp_ntz("time", F.lit("yyyy-MM-dd'T'HH:mm")).alias("datetime"),

@@ -68,7 +68,7 @@ def main(sf_dir: str, names: list[str]) -> None:
             if name not in oracle:
                 verdict = "rows only"
             else:
-                expected = connection.execute(oracle[name]).to_arrow_table()
+                expected = connection.sql(oracle[name]).to_arrow_table()
                 verdict = differences(result, expected) or "equal"
             if result.num_rows == 0:
                 verdict += " EMPTY"

@@ -26,4 +26,4 @@ def make(spark):
 
 def values(frame, *columns):
     """Rows as plain tuples, in the given column order."""
-    return [tuple(row) for row in frame.select(*(columns or frame.columns)).collect()]
+    return [tuple(row) for row in (frame.select(*columns) if columns else frame).collect()]
