@@ -82,7 +82,8 @@ def as_numbers(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def fill_numbers(rows: DataFrame, values: Mapping[str, float | None]) -> DataFrame:
     """NULLs replaced by the given value of their column; None leaves them."""
-    return rows.fillna({c: v for c, v in values.items() if v is not None})
+    known = {c: v for c, v in values.items() if v is not None}
+    return rows.fillna(known) if known else rows
 
 
 def impute_median(rows: DataFrame, columns: Sequence[str] = NUMERIC) -> DataFrame:
@@ -92,13 +93,7 @@ def impute_median(rows: DataFrame, columns: Sequence[str] = NUMERIC) -> DataFram
     and the replacement itself stays lazy. A column without values stays NULL.
     """
     numbers = as_numbers(rows, columns)
-    return fill_numbers(numbers, exact_medians(numbers, columns_with_gaps(numbers, columns)))
-
-
-def columns_with_gaps(rows: DataFrame, columns: Sequence[str]) -> list[str]:
-    """Columns with some values and some NULLs: only those need a median."""
-    counts = rows.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in columns]).first()
-    return [c for c in columns if 0 < counts[c] < counts["_rows"]]
+    return fill_numbers(numbers, exact_medians(numbers, columns, only_gappy=True))
 
 
 def encode_borough(rows: DataFrame, staging: str) -> DataFrame:

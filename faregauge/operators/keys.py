@@ -27,8 +27,8 @@ def stage_ordered(
     path: str,
     partition_by: str | None = None,
     touched_only: bool = False,
-) -> None:
-    """Write ``rows`` range-partitioned and sorted, each with its place.
+) -> DataFrame:
+    """Write ``rows`` range-partitioned and sorted, each with its place; returns the table.
 
     ``part_no`` is the range a row fell into and ``row_no`` its position there.
     A running id breaks ties, so that equal rows, however many, spread over
@@ -55,6 +55,7 @@ def stage_ordered(
     if touched_only:
         write = write.option("partitionOverwriteMode", "dynamic")
     (write.partitionBy(partition_by) if partition_by else write).parquet(path)
+    return rows.sparkSession.read.schema(placed.schema).parquet(path)
 
 
 def sorted_evenly(rows: DataFrame, *keys: Column) -> DataFrame:
@@ -101,6 +102,5 @@ def dense_key(rows: DataFrame, order: Sequence[str], name: str, path: str) -> Da
 
     ``path`` takes the staged table, which the result reads.
     """
-    stage_ordered(rows, order, path)
-    staged = rows.sparkSession.read.parquet(path)
+    staged = stage_ordered(rows, order, path)
     return numbered(staged, key_offsets(staged, ["part_no"]), ["part_no"], name)

@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 _BINS = 1024
 
 
-def exact_medians(table: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+def exact_medians(
+    table: DataFrame, columns: Sequence[str], only_gappy: bool = False
+) -> dict[str, float | None]:
     """Median of every column, NULLs aside; None for a column without values.
 
+    ``only_gappy`` leaves out columns without NULLs, which need no replacement.
+
     The built-in exact percentile keeps every distinct value of a column in one
     aggregation buffer. Here an approximate percentile gives a bracket around the
     middle, and each further pass counts the values of the bracket in equal bins
@@ -24,6 +28,7 @@ def exact_medians(table: DataFrame, columns: Sequence[str]) -> dict[str, float |
         return {}
     wide = table.select([F.col(c).cast("double").alias(c) for c in columns])
     summary = wide.agg(
+        F.count("*").alias("rows"),
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
         *[F.min(c).alias(f"lo_{i}") for i, c in enumerate(columns)],
         *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(columns)],
@@ -37,6 +42,9 @@ def exact_medians(table: DataFrame, columns: Sequence[str]) -> dict[str, float |
     searches = []
     for i, c in enumerate(columns):
         n = summary[f"n_{i}"]
+        if only_gappy and n == summary["rows"]:
+            del found[c]
+            continue
         for rank in sorted({(n - 1) // 2, n // 2}) if n else ():
             searches.append((c, rank, *summary[f"q_{i}"]))
     limits = {c: (summary[f"lo_{i}"], summary[f"hi_{i}"]) for i, c in enumerate(columns)}

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from faregauge.operators.features import (
     WEATHER_FEATURES,
-    columns_with_gaps,
     drop_empty_columns,
     fill_numbers,
     sample_cap,
@@ -61,9 +60,7 @@ def training_rows(features: DataFrame, forest: Forest) -> DataFrame:
     """Capped, filled and split rows for one model."""
     usable = drop_empty_columns(features, forest.target)
     numeric = [c for c in usable.columns if c not in _BOOKKEEPING]
-    gappy = columns_with_gaps(usable, numeric)
-    if gappy:
-        usable = fill_numbers(usable, exact_medians(usable, gappy))
+    usable = fill_numbers(usable, exact_medians(usable, numeric, only_gappy=True))
     capped = sample_cap(usable, forest.rows, seed=forest.seed)
     return split_train_test(capped, seed=forest.seed)
 

@@ -24,18 +24,18 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._written: set[str] = set()
+        self._tables: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def table(self, name: str, write: Callable[[str], None]) -> DataFrame:
         """The stored table ``name``, written by ``write(path)`` on first use."""
-        path = self.path(name)
-        if name not in self._written:
+        if name not in self._tables:
+            path = self.path(name)
             write(path)
-            self._written.add(name)
-        return self.spark.read.parquet(path)
+            self._tables[name] = self.spark.read.parquet(path)
+        return self._tables[name]
 
 
 class StarSchema:

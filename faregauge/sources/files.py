@@ -16,6 +16,26 @@ TRIP_FILES = "yellow_tripdata_*.parquet"
 WEATHER_FILES = "weather_daily_*.parquet"
 
 
+def spread_small(table: DataFrame, size: int, bytes_per_task: int = 1 << 20) -> DataFrame:
+    """Deals a table of ``size`` bytes out to all cores if it fits into one input split.
+
+    A small file is read by a single task, which would then do all the work up to
+    the next shuffle and write one file again. Larger inputs have splits enough and
+    are left alone, so nothing big is shuffled for this.
+    """
+    spark = table.sparkSession
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().rstrip("b")
+    limit = int(split) if split.isdigit() else 128 << 20
+    parts = min(spark.sparkContext.defaultParallelism, size // bytes_per_task)
+    return table.repartition(parts) if parts > 1 and size < limit else table
+
+
+def path_size(spark: SparkSession, path: str) -> int:
+    """Bytes under a path, from the store's own summary."""
+    files, target = hadoop_path(spark, path)
+    return files.getContentSummary(target).getLength()
+
+
 def _entry(root: str, path: Column) -> Column:
     """The file or directory right under ``root`` that ``path`` belongs to."""
     folder = root.rstrip("/").split("/")[-1]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from faregauge.functions.labels import weather_label
 from faregauge.schemas import TRIPS_RAW, WEATHER_HOURLY, ZONE_LOOKUP
 from faregauge.settings import CleanRules, Window
+from faregauge.sources.files import path_size, spread_small
 
 # The order dates lie in the nineties, so rules and window move there.
 RULES = CleanRules(year=1997)
@@ -24,12 +25,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Like :func:`read`, on all cores even if the table is one small file."""
+    size = path_size(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small(read(spark, sf_dir, name), size)
+
+
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per line item, in the schema of a monthly trip file plus its month.
 
     A shuffle join on the order key; adaptive execution splits hot orders.
     """
-    lines, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
+    lines, orders = read_spread(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
     order, part, supplier, line = (
         F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     )
