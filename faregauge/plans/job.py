@@ -21,6 +21,7 @@ from faregauge.plans.star import StarSchema
 from faregauge.session import configure
 from faregauge.settings import CleanRules
 from faregauge.sources.files import path_exists
+from faregauge.sources.sinks import write_mart
 from faregauge.streaming import months
 from faregauge.streaming.loading import load_new_files, read_staging
 
@@ -151,15 +152,13 @@ class MonthlyJob:
             cleaned, self.read("dim_time"), self.read("dim_location"), self.read("dim_weather")
         )
         keys.stage_ordered(
-            by_month(rows),
-            TRIP_ORDER,
-            self.path("fact"),
-            MONTH_PARTITION,
-            touched_only=batch is not None,
+            by_month(rows), TRIP_ORDER, self.path("fact"), MONTH_PARTITION, touched_only=True
         )
+        offsets = keys.key_offsets(self.read("fact"), StarSchema.FACT_RANGES)
+        write_mart(offsets, self.path("fact_offsets"))
 
     def fact(self) -> DataFrame:
         """The fact table with dense trip keys."""
-        staged = self.read("fact")
-        offsets = keys.key_offsets(staged, StarSchema.FACT_RANGES)
-        return keys.numbered(staged, offsets, StarSchema.FACT_RANGES, "trip_id")
+        return keys.numbered(
+            self.read("fact"), self.read("fact_offsets"), StarSchema.FACT_RANGES, "trip_id"
+        )

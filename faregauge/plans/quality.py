@@ -109,10 +109,10 @@ def dq_temporal_rows(raw: DataFrame, window: Window = Window()) -> DataFrame:
 
 
 def money_tests() -> dict[str, tuple[Column, str]]:
-    """Test and description of each kind of implausible amount."""
+    """Test and description of each kind of implausible amount; the texts are fixed values."""
     fare, total = F.col("fare_amount"), F.col("total_amount")
     return {
-        "negative_fare": (fare < 0, "fare_amount < 0 (refund/correction)"),
+        "negative_fare": (fare < 0, "fare_amount < 0 (refund/koreksi)"),
         "zero_fare": (fare == 0, "fare_amount = 0"),
         "non_positive_fare": (fare <= 0, "fare_amount <= 0"),
         "negative_total": (total < 0, "total_amount < 0"),

@@ -123,6 +123,20 @@ def append_files(frames: Sequence[DataFrame], schema: StructType = TRIPS_RAW) ->
     return reduce(DataFrame.unionByName, [fit(frame) for frame in frames])
 
 
+def scan_mixed(
+    spark: SparkSession, paths: Sequence[str], schema: StructType = TRIPS_RAW
+) -> DataFrame:
+    """Files whose column types differ, such as whole numbers in some and fractions in others.
+
+    Footers are read first and files of one schema share a scan, so the plan
+    grows with the number of schemas and not of files.
+    """
+    groups: dict[str, list[str]] = {}
+    for path in paths:
+        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    return append_files([spark.read.parquet(*same) for same in groups.values()], schema)
+
+
 def audit_files(
     spark: SparkSession, pattern: str, schema: StructType = TRIPS_RAW
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from faregauge.functions.labels import weather_label
 from faregauge.schemas import WEATHER_DAILY, WEATHER_HOURLY, WEATHER_PAYLOAD
+from faregauge.sources.files import scan_mixed
 
 
 def file_interval(paths: DataFrame) -> DataFrame:
@@ -23,15 +24,15 @@ def file_interval(paths: DataFrame) -> DataFrame:
 
 
 def scan_weather_daily(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Daily observations, the ten declared columns only."""
+    """Daily observations, the ten declared columns only, in their declared types."""
     if not paths:
         raise ValueError("no daily weather file to read")
-    return spark.read.schema(WEATHER_DAILY).parquet(*paths)
+    return scan_mixed(spark, paths, WEATHER_DAILY)
 
 
 def scan_weather_hourly(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Hourly observations of all given files."""
-    return spark.read.schema(WEATHER_HOURLY).parquet(*paths)
+    """Hourly observations of all given files; weather codes may be whole numbers."""
+    return scan_mixed(spark, paths, WEATHER_HOURLY)
 
 
 def scan_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

@@ -379,7 +379,7 @@ def _tally(*pairs: tuple[str, str]) -> str:
 
 def _money_rows() -> str:
     tests = {
-        "negative_fare": ("fare_amount < 0", "fare_amount < 0 (refund/correction)"),
+        "negative_fare": ("fare_amount < 0", "fare_amount < 0 (refund/koreksi)"),
         "zero_fare": ("fare_amount = 0", "fare_amount = 0"),
         "non_positive_fare": ("fare_amount <= 0", "fare_amount <= 0"),
         "negative_total": ("total_amount < 0", "total_amount < 0"),

@@ -107,6 +107,17 @@ def test_scan_by_name(spark, make, tmp_path):
     assert values(scanned, "fare_amount", "PULocationID") == [(10.0, 1), (10.0, 1)]
 
 
+def test_scan_of_mixed_types(spark, make, tmp_path):
+    rows = make([trip()], TRIPS_RAW)
+    paths = [str(tmp_path / name) for name in "abc"]
+    rows.write.parquet(paths[0])
+    rows.withColumn("passenger_count", F.col("passenger_count").cast("double")).write.parquet(paths[1])
+    rows.drop("extra").write.parquet(paths[2])
+    scanned = files.scan_mixed(spark, paths)
+    assert scanned.schema.simpleString() == TRIPS_RAW.simpleString()
+    assert values(scanned, "passenger_count") == [(1,)] * 3
+
+
 @pytest.mark.parametrize(
     ("done", "last", "expected"),
     [
