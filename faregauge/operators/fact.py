@@ -67,7 +67,9 @@ def build_fact(
     weather: DataFrame,
     keep_null_weather: bool = False,
 ) -> DataFrame:
-    """Trips with both zones, joined to all dimensions; all columns but the trip key.
+    """Trips with both zones, joined to all dimensions.
+
+    All columns of the fact but its key and load time, which storing it adds.
 
     The dimensions are stored tables, so their file sizes decide about the
     broadcast: as long as they are below ``spark.sql.autoBroadcastJoinThreshold``
@@ -120,12 +122,20 @@ def build_fact(
         "dropoff_longitude",
         "dropoff_latitude",
         *weather_or_default(keep_null_weather),
-        F.current_timestamp().alias("loaded_at"),
         labels.duration_label(F.col("trip_duration_min")).alias("trip_duration_category"),
         labels.tip_label(F.col("fare_amount"), F.col("tip_percentage")).alias("tip_category"),
     )
 
 
+def with_load_time(stored: DataFrame) -> DataFrame:
+    """Adds ``loaded_at``: when the file a row is in was written.
+
+    Kept by the file system already, so it is neither stored per row nor a literal
+    that makes every run of the build compile anew.
+    """
+    return stored.select("*", F.col("_metadata.file_modification_time").alias("loaded_at"))
+
+
 def by_month(trips: DataFrame) -> DataFrame:
     """Adds the month the stored table is partitioned by."""
     return trips.withColumn(MONTH_PARTITION, calendar.month_label(F.col("pickup_datetime")))

@@ -97,6 +97,19 @@ def numbered(staged: DataFrame, offsets: DataFrame, by: Sequence[str], name: str
     return joined.select(key, *rest)
 
 
+def first_numbered(
+    staged: DataFrame, offsets: DataFrame, by: Sequence[str], name: str, rows: int
+) -> DataFrame:
+    """The rows with keys 1 to ``rows``.
+
+    Ranges that start later are dropped from the offsets, which prunes their
+    partitions, and within a range no row lies beyond its own position.
+    """
+    near = offsets.where(F.col("key_offset") <= rows)
+    front = staged.where(F.col("row_no") < rows)
+    return numbered(front, near, by, name).where(F.col(name) <= rows)
+
+
 def dense_key(rows: DataFrame, order: Sequence[str], name: str, path: str) -> DataFrame:
     """Rows numbered 1..N along ``order`` without a single-task window.
 

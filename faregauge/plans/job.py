@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from faregauge.operators import dimensions, keys
 from faregauge.operators.clean import clean_trips
-from faregauge.operators.fact import TRIP_ORDER, build_fact, by_month
+from faregauge.operators.fact import TRIP_ORDER, build_fact, by_month, with_load_time
 from faregauge.operators.filters import MONTH_PARTITION
 from faregauge.operators.weather import forward_fill, transform_weather
 from faregauge.plans.star import StarSchema
@@ -159,6 +159,5 @@ class MonthlyJob:
 
     def fact(self) -> DataFrame:
         """The fact table with dense trip keys."""
-        return keys.numbered(
-            self.read("fact"), self.read("fact_offsets"), StarSchema.FACT_RANGES, "trip_id"
-        )
+        staged = with_load_time(self.read("fact"))
+        return keys.numbered(staged, self.read("fact_offsets"), StarSchema.FACT_RANGES, "trip_id")

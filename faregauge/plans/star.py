@@ -96,18 +96,21 @@ class StarSchema:
         return self.store.table("fact", write)
 
     def fact_rows(self) -> DataFrame:
-        """The fact table without its key, for reports: no join to number the rows."""
+        """The fact table without key and load time, which no report needs."""
         return self._staged_fact().drop("part_no", "row_no")
 
-    def fact(self) -> DataFrame:
-        """The fact table with the dense ``trip_id``.
+    def fact(self, first: int | None = None) -> DataFrame:
+        """The fact table with the dense ``trip_id``, or its first rows in key order.
 
         The key is kept as an offset per written range, so that reloading one
         month rewrites that month and this small table only.
         """
         staged = self._staged_fact()
         offsets = self._stored("fact_offsets", lambda: keys.key_offsets(staged, self.FACT_RANGES))
-        return keys.numbered(staged, offsets, self.FACT_RANGES, "trip_id")
+        stamped = fact.with_load_time(staged)
+        if first is not None:
+            return keys.first_numbered(stamped, offsets, self.FACT_RANGES, "trip_id", first)
+        return keys.numbered(stamped, offsets, self.FACT_RANGES, "trip_id")
 
     def features(self) -> DataFrame:
         """Feature matrix with a stable ``feature_id``."""

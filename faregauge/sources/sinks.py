@@ -44,14 +44,6 @@ def write_csv(table: DataFrame, path: str) -> None:
     table.write.mode("overwrite").csv(path, header=True)
 
 
-def write_fact_export(fact: DataFrame, path: str, rows: int = 1_000_000) -> None:
-    """The first ``rows`` trips as CSV.
-
-    The dense trip key turns the limit into a filter: no sort, no single task.
-    """
-    write_csv(fact.where(F.col("trip_id") <= rows), path)
-
-
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """Model metrics, one JSON document per model."""
     metrics.write.mode("overwrite").json(path)

@@ -73,6 +73,14 @@ def test_numbered_fact_needs_no_single_task(space):
     assert "SinglePartition" not in plan(space.star.fact())
 
 
+def test_first_trips_prune_later_months(space):
+    first = space.star.fact(first=10)
+    text = plan(first)
+    assert "dynamicpruning" in text and "LessThan(row_no,10)" in text
+    assert "Sort" not in text
+    assert sorted(row["trip_id"] for row in first.collect()) == list(range(1, 11))
+
+
 def test_borough_filter_is_a_semi_join(space):
     text = plan(filters.pickup_in_boroughs(space.star.fact_rows(), space.star.dim_location(), ["ASIA"]))
     assert "LeftSemi" in text
