@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -563,16 +563,10 @@ def _(w: Workspace):
         F.lower(F.trim(name)).alias("clean_name"),
         name.contains("URG").alias("is_urgent"),
         F.round(F.col("o_totalprice") / 1000, 1).alias("thousands"),
-        (moment >= clean.ntz(calendar_start())).alias("is_late"),
+        (moment >= clean.ntz(datetime(1996, 1, 1))).alias("is_late"),
     )
 
 
-def calendar_start():
-    from datetime import datetime
-
-    return datetime(1996, 1, 1)
-
-
 # --- filters --------------------------------------------------------------------
 
 
