@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faregauge.functions.labels import anomaly_label, flag_count
-from faregauge.operators.clean import PICKUP, is_clean, raw_minutes
+from faregauge.operators.clean import PICKUP, is_clean
 from faregauge.operators.filters import outside_dates, positive_total
 from faregauge.operators.keys import sorted_evenly
 from faregauge.settings import ZONE_ID_RANGE, CleanRules, Window

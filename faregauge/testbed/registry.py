@@ -12,7 +12,7 @@ from faregauge.functions import calendar, labels
 from faregauge.operators import clean, dimensions, fact, features, filters, keys, weather, zones
 from faregauge.plans import models, quality, reports
 from faregauge.plans.job import MonthlyJob
-from faregauge.schemas import WEATHER_DAILY, WEATHER_HOURLY, ZONE_LOOKUP
+from faregauge.schemas import WEATHER_DAILY, ZONE_LOOKUP
 from faregauge.sources import files, sinks
 from faregauge.sources import weather as weather_source
 from faregauge.sources import zones as zone_source
