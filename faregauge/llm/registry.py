@@ -6,16 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faregauge.llm import host_rules
-from faregauge.llm.common import table
+from faregauge.llm import bpe, host_rules, token_files
+from faregauge.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents written as Parquet in doc_id order and read back."""
+    path = scratch(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path)
+    return token_files.token_digests(token_files.read_tokens(spark, path))
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and verdict of the host for every document."""
     return host_rules.host_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded by speculation and decoded again."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: call for name, call in globals().items() if name.startswith("op") and name[2].isdigit()}
