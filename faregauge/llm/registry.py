@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faregauge.llm import bpe, host_rules, token_files
+from faregauge.llm import bpe, host_rules, near_dedup, token_files
 from faregauge.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,5 +29,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near copies of every document, and which row of the class stays."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: call for name, call in globals().items() if name.startswith("op") and name[2].isdigit()}
