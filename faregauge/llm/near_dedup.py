@@ -10,8 +10,8 @@ and only up to the time by which all registers of a text are filled: a text with
 shingles costs some n + 8 m draws, however large the weights.
 
 Bands. Equal runs of registers put texts into a common bucket. Bucket members are not
-paired with each other: in each bucket one pivot is compared with all others, and what is
-similar joins the pivot's class. Members outside that class become pivots in later rounds,
+paired with each other: in each bucket one pivot, the text that shares most buckets with
+others, is compared with all, and what is similar joins the pivot's class. Members outside that class become pivots in later rounds,
 each compared with the whole bucket, until at most one class of the bucket has members
 that never were pivots. Every pair of a bucket is then compared or lies within one class,
 so no class is split, while a bucket of n copies costs n comparisons.
@@ -257,17 +257,22 @@ def classes(docs: DataFrame, rule: NearRule | None = None) -> DataFrame:
     copies = stored(all_rows.groupBy("copy").agg(F.min(ROW).alias("rep")), "copies")
     texts = all_rows.where("size > 0").join(copies.select(F.col("rep").alias(ROW)), ROW, "left_semi")
     spread = texts.select(F.explode("bands").alias("bucket"), ROW, "size")
-    shared = spread.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.min(ROW).alias("pivot"), F.min_by("size", ROW).alias("pivot_size")
-    )
-    members = stored(spread.join(shared.where("n > 1"), "bucket"), "members")
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(spread.join(shared, "bucket"), "members")
+    # The text that shares most buckets with others is the likeliest to be like all of them.
+    weights = members.groupBy(ROW).agg(F.sum("n").alias("weight"))
+    members = stored(members.join(weights, ROW), "members")
+    order = F.struct("weight", (-F.col(ROW)).alias("before"), "size")
+    pivots = members.groupBy("bucket").agg(F.max(order).alias("top"))
+    pivots = pivots.select("bucket", (-F.col("top.before")).alias("pivot"), F.col("top.size").alias("pivot_size"))
+    members = members.join(pivots, "bucket")
 
     pairs = stored(_compared(members, rule), "pairs")
     tested = pairs
     labels = _relabelled(None, verified(pairs, docs, rule))
     # A bucket of two is done with its one pair.
     open_members = stored(
-        members.where("n > 2").select("bucket", ROW, "size", "pivot", (F.col(ROW) == F.col("pivot")).alias("was_pivot")),
+        members.where("n > 2").select("bucket", ROW, "size", "weight", "pivot", (F.col(ROW) == F.col("pivot")).alias("was_pivot")),
         "open",
     )
     width = 4
@@ -278,7 +283,7 @@ def classes(docs: DataFrame, rule: NearRule | None = None) -> DataFrame:
         now = now.join(first, "bucket")
         # Outside the first pivot's class and never compared with the whole bucket.
         waiting = now.where("label <> first_label and not was_pivot")
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy(ROW))
+        place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), ROW))
         chosen = waiting.withColumn("place", place).where(F.col("place") <= width)
         chosen = stored(
             chosen.select("bucket", F.col(ROW).alias("next"), F.col("size").alias("pivot_size"), F.col("label").alias("pivot_label")),
@@ -290,7 +295,7 @@ def classes(docs: DataFrame, rule: NearRule | None = None) -> DataFrame:
         marks = chosen.select("bucket", F.col("next").alias(ROW), F.lit(True).alias("now_pivot"))
         open_members = stored(
             now.join(active, "bucket", "left_semi").join(marks, ["bucket", ROW], "left")
-            .select("bucket", ROW, "size", "pivot", (F.col("was_pivot") | F.col("now_pivot").isNotNull()).alias("was_pivot"), "label"),
+            .select("bucket", ROW, "size", "weight", "pivot", (F.col("was_pivot") | F.col("now_pivot").isNotNull()).alias("was_pivot"), "label"),
             "open",
         )
         met = open_members.drop("pivot").join(chosen.withColumnRenamed("next", "pivot"), "bucket")

@@ -6,12 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faregauge.llm import bpe, host_rules, near_dedup, token_files
+from faregauge.llm import bpe, host_rules, near_dedup, quality, token_files, toxicity
 from faregauge.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every text by sizes under a dictionary of good and one of bad text."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.quality(docs, quality.trained(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every text by sizes under a toxic and an ordinary dictionary."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents written as Parquet in doc_id order and read back."""
     path = scratch(spark, "token-files")
