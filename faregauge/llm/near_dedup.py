@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faregauge.llm.common import by_batch, prepare, stored, text_or_empty
+from faregauge.llm.common import anchored, by_batch, prepare, stored, text_or_empty
 from faregauge.llm.shingles import WORDS, mixed, runs, shingle_bags
 
 ROW = "_near_row"
@@ -141,8 +141,8 @@ def _sign_batch(rule: NearRule):
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """Rows with their place; ``docs`` should read stored files, then a rerun agrees."""
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    """Rows with their place in stored files, which a second reading repeats."""
+    return anchored(docs).withColumn(ROW, F.monotonically_increasing_id())
 
 
 def signed(docs: DataFrame, rule: NearRule) -> DataFrame:

@@ -43,7 +43,9 @@ LEAST_MATCH = 3
 def windows(text: str) -> list[bytes]:
     """The whole text in windows of ``WINDOW`` bytes; a short rest joins the last one."""
     content = text.encode()
-    starts = list(range(0, max(len(content) - WINDOW // 2, 1), WINDOW)) if content else []
+    if not content:
+        return []
+    starts = list(range(0, max(len(content) - WINDOW // 2, 1), WINDOW))
     return [content[a:b] for a, b in zip(starts, [*starts[1:], len(content)], strict=True)]
 
 

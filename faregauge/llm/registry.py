@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faregauge.llm import bpe, host_rules, near_dedup, quality, token_files, toxicity
+from faregauge.llm import bpe, host_rules, merkle, near_dedup, quality, token_files, toxicity
 from faregauge.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(docs, quality.trained(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprint of every text and of its edited form, with likenesses."""
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every text by sizes under a toxic and an ordinary dictionary."""
     docs = table(spark, sf_dir, "documents")
