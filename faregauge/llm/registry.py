@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faregauge.llm import bpe, host_rules, merkle, near_dedup, quality, token_files, toxicity
+from faregauge.llm import bpe, host_rules, merkle, near_dedup, pii, quality, token_files, toxicity
 from faregauge.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every text: base rules, and candidates the trees accept."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.personal_data(docs, pii.trained(docs))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near copies of every document, and which row of the class stays."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
