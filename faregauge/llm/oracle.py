@@ -56,5 +56,43 @@ FROM judged j JOIN verdicts v ON j.host IS NOT DISTINCT FROM v.host
 """
 
 
+def mixing_sql(sweeps: int = 8, share: float = 0.8, seed: int = 7) -> str:
+    """Raking with one query block per step."""
+    powers = {"source": 0.7, "lang": 0.8, "topic": 0.5}
+    blocks = [
+        r"""docs AS (
+  SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+)""",
+        """rows AS (
+  SELECT doc_id, source, lang, len(words) AS tokens, CASE WHEN len(words) = 0 THEN 'none' ELSE
+    't' || ((strpos('0123456789abcdef', substr(list_min(list_transform(words, lambda w: md5(w))), 32, 1)) - 1) % 4)
+    END AS topic FROM docs
+)""",
+        """step0 AS (
+  SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens, sum(tokens)::DOUBLE AS weight FROM rows GROUP BY ALL
+)""",
+    ]
+    for d, power in powers.items():
+        blocks.append(f"""goal_{d} AS (
+  SELECT {d}, mass / sum(mass) OVER () * (SELECT sum(tokens) FROM step0) AS goal
+  FROM (SELECT {d}, pow(sum(tokens), {power}) AS mass FROM step0 GROUP BY {d}) WHERE mass > 0
+)""")
+    number = 0
+    for _ in range(sweeps):
+        for d in powers:
+            blocks.append(f"""step{number + 1} AS MATERIALIZED (
+  SELECT s.source, s.lang, s.topic, s.tokens, CASE WHEN m > 0 AND goal IS NOT NULL THEN s.weight * (goal / m) ELSE s.weight END AS weight
+  FROM (SELECT *, sum(weight) OVER (PARTITION BY {d}) AS m FROM step{number}) s LEFT JOIN goal_{d} USING ({d})
+)""")
+            number += 1
+    return f"""WITH {", ".join(blocks)}
+SELECT doc_id, source, lang, topic, r.tokens::BIGINT AS tokens, round(p, 6) AS probability,
+  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|{seed}'), 1, 12))::BIGINT / 281474976710656.0 < p AS kept
+FROM rows r JOIN (
+  SELECT source, lang, topic, least({share} * CASE WHEN tokens > 0 THEN weight / tokens ELSE 1 END, 1) AS p FROM step{number}
+) USING (source, lang, topic)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_host_rules": OP7}
+    return {"op1_mixing": mixing_sql(), "op7_host_rules": OP7}

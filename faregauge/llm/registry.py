@@ -5,13 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from faregauge.llm import bpe, host_rules, merkle, near_dedup, pii, quality, token_files, toxicity
+from faregauge.llm import bpe, host_rules, merkle, mixing, near_dedup, pii, quality, token_files, toxicity
 from faregauge.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category, probability and decision of every document after raking."""
+    chosen = mixing.mixed(table(spark, sf_dir, "documents"))
+    return chosen.withColumn("probability", F.round("probability", 6))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every text by sizes under a dictionary of good and one of bad text."""
     docs = table(spark, sf_dir, "documents")
