@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregauge.llm import bpe, host_rules, merkle, mixing, near_dedup, pii, quality, token_files, toxicity
+from faregauge.llm import bpe, host_rules, html_text, merkle, mixing, near_dedup, pii, quality, token_files, toxicity
 from faregauge.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(token_files.read_tokens(spark, path))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page, laid out."""
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and verdict of the host for every document."""
     return host_rules.host_rules(table(spark, sf_dir, "documents"))
