@@ -11,10 +11,10 @@ shingles costs some n + 8 m draws, however large the weights.
 
 Bands. Equal runs of registers put texts into a common bucket. Bucket members are not
 paired with each other: in each bucket one pivot, the text that shares most buckets with
-others, is compared with all, and what is similar joins the pivot's class. Members outside that class become pivots in later rounds,
-each compared with the whole bucket, until at most one class of the bucket has members
-that never were pivots. Every pair of a bucket is then compared or lies within one class,
-so no class is split, while a bucket of n copies costs n comparisons.
+others, is compared with all, and what is similar joins the pivot's class. Members outside that class are then compared with all
+members of other classes, block against block inside tasks of bounded size. Every pair of
+a bucket is then compared or lies within one class, so no class is split, while a bucket
+of n copies costs n comparisons.
 
 Classes. Texts with the same words are one text from the start, whatever their number;
 only one of them gets buckets. Links are joined to classes by alternating large-star and
@@ -33,7 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faregauge.llm.common import anchored, by_batch, prepare, stored, text_or_empty
@@ -44,7 +44,7 @@ ROW = "_near_row"
 
 @dataclass(frozen=True)
 class NearRule:
-    """Words per shingle, least similarity as a fraction, bands and registers per band.
+    """Words per shingle, least similarity, bands, registers per band, texts per block.
 
     With 25 bands of 5 registers a pair at 0.8 shares no bucket once in 20,000 pairs.
     """
@@ -53,6 +53,7 @@ class NearRule:
     similar: tuple[int, int] = (4, 5)
     bands: int = 25
     registers: int = 5
+    block: int = 256
 
     @property
     def size(self) -> int:
@@ -236,6 +237,80 @@ def _compared(members: DataFrame, rule: NearRule) -> DataFrame:
     return pairs.where(fits).select(least.alias("a"), most.alias("b")).distinct()
 
 
+def _cell_links(rule: NearRule):
+    more, parts = rule.similar
+
+    def bags(rows: pa.Table) -> tuple[np.ndarray, ...]:
+        texts = rows.column("text").combine_chunks()
+        if isinstance(texts, pa.ChunkedArray):
+            texts = pa.concat_arrays(texts.chunks)
+        found = []
+        for start, stop in runs(texts):
+            text, shingle, weight = shingle_bags(texts.slice(start, stop - start), rule.words)
+            found.append((text + start, shingle, weight))
+        text, shingle, weight = (np.concatenate(x) for x in zip(*found, strict=True))
+        return text, shingle, weight, np.bincount(text, weight, len(texts))
+
+    def step(cell: pa.Table) -> pa.Table:
+        side = cell.column("asks").to_numpy()
+        asking, asked = cell.filter(pa.array(side)), cell.filter(pa.array(~side))
+        links: list[tuple[int, int]] = []
+        if asking.num_rows and asked.num_rows:
+            x_text, x_shingle, x_weight, x_size = bags(asking)
+            y_text, y_shingle, y_weight, y_size = bags(asked)
+            order = np.argsort(y_shingle, kind="stable")
+            y_text, y_shingle, y_weight = y_text[order], y_shingle[order], y_weight[order]
+            x_label, y_label = asking.column("label").to_numpy(), asked.column("label").to_numpy()
+            x_row, y_row = asking.column(ROW).to_numpy(), asked.column(ROW).to_numpy()
+            ends = np.searchsorted(x_text, np.arange(len(x_row) + 1))
+            for i in range(len(x_row)):
+                own, weight = x_shingle[ends[i] : ends[i + 1]], x_weight[ends[i] : ends[i + 1]]
+                low, high = np.searchsorted(y_shingle, own, "left"), np.searchsorted(y_shingle, own, "right")
+                times = high - low
+                at = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(times.sum())
+                shared = np.bincount(y_text[at], np.minimum(np.repeat(weight, times), y_weight[at]), len(y_row))
+                alike = (parts * shared >= more * (x_size[i] + y_size - shared)) & (y_label != x_label[i])
+                links += [(int(x_row[i]), int(r)) for r in y_row[alike]]
+        a, b = zip(*links, strict=True) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return step
+
+
+def verified_in_cells(members: DataFrame, labels: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
+    """Links that the pivots' comparisons leave open, as (a, b).
+
+    In each bucket, members outside the pivot's class are compared with all members of other
+    classes. Both sides are dealt into blocks, and a cell of two blocks is one group of
+    bounded size: texts move to cells, no pair is a row, only links come out. A bucket whose
+    members are all alike has no such members and costs nothing.
+    """
+    known = labels.withColumnsRenamed({"node": ROW, "root": "label"})
+    # A bucket of two is done with its one pair.
+    now = members.where("n > 2").join(known, ROW, "left").withColumn("label", F.coalesce("label", ROW))
+    heads = now.where(f"{ROW} = pivot").select("bucket", F.col("label").alias("head"))
+    now = now.join(heads, "bucket").select("bucket", ROW, "n", "label", (F.col("label") != F.col("head")).alias("asks"))
+    now = stored(now, "open")
+    active = now.where("asks").groupBy("bucket").agg(F.count("*").alias("asking"))
+    now = now.join(active, "bucket")
+
+    def dealt(total: str) -> Column:
+        return F.ceil(F.col(total) / rule.block).cast("int")
+
+    def place(total: str) -> Column:
+        return F.pmod(F.xxhash64(ROW, F.lit(5)), dealt(total)).cast("int")
+
+    def every(total: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), dealt(total) - 1))
+
+    asking = now.where("asks").withColumn("x", place("asking")).withColumn("y", every("n"))
+    asked = now.withColumn("asks", F.lit(False)).withColumn("y", place("n")).withColumn("x", every("asking"))
+    cells = asking.unionByName(asked).select("bucket", "x", "y", "asks", ROW, "label")
+    texts = docs.select(F.col(ROW), text_or_empty().alias("text")).join(now.select(ROW).distinct(), ROW, "left_semi")
+    both = cells.join(texts, ROW)
+    return both.groupBy("bucket", "x", "y").applyInArrow(_cell_links(rule), "a long, b long")
+
+
 def _relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """(node, root) after further links; nodes without a row are their own root."""
     if labels is None:
@@ -265,46 +340,12 @@ def classes(docs: DataFrame, rule: NearRule | None = None) -> DataFrame:
     order = F.struct("weight", (-F.col(ROW)).alias("before"), "size")
     pivots = members.groupBy("bucket").agg(F.max(order).alias("top"))
     pivots = pivots.select("bucket", (-F.col("top.before")).alias("pivot"), F.col("top.size").alias("pivot_size"))
-    members = members.join(pivots, "bucket")
+    members = stored(members.join(pivots, "bucket"), "members")
 
     pairs = stored(_compared(members, rule), "pairs")
-    tested = pairs
     labels = _relabelled(None, verified(pairs, docs, rule))
-    # A bucket of two is done with its one pair.
-    open_members = stored(
-        members.where("n > 2").select("bucket", ROW, "size", "weight", "pivot", (F.col(ROW) == F.col("pivot")).alias("was_pivot")),
-        "open",
-    )
-    width = 4
-    while True:
-        known = labels.withColumnsRenamed({"node": ROW, "root": "label"})
-        now = open_members.join(known, ROW, "left").withColumn("label", F.coalesce("label", ROW))
-        first = now.where(f"{ROW} = pivot").select("bucket", F.col("label").alias("first_label"))
-        now = now.join(first, "bucket")
-        # Outside the first pivot's class and never compared with the whole bucket.
-        waiting = now.where("label <> first_label and not was_pivot")
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), ROW))
-        chosen = waiting.withColumn("place", place).where(F.col("place") <= width)
-        chosen = stored(
-            chosen.select("bucket", F.col(ROW).alias("next"), F.col("size").alias("pivot_size"), F.col("label").alias("pivot_label")),
-            "pivots",
-        )
-        if chosen.isEmpty():
-            break
-        active = chosen.select("bucket").distinct()
-        marks = chosen.select("bucket", F.col("next").alias(ROW), F.lit(True).alias("now_pivot"))
-        open_members = stored(
-            now.join(active, "bucket", "left_semi").join(marks, ["bucket", ROW], "left")
-            .select("bucket", ROW, "size", "weight", "pivot", (F.col("was_pivot") | F.col("now_pivot").isNotNull()).alias("was_pivot"), "label"),
-            "open",
-        )
-        met = open_members.drop("pivot").join(chosen.withColumnRenamed("next", "pivot"), "bucket")
-        pairs = _compared(met.where("label <> pivot_label"), rule)
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        open_members = open_members.drop("label")
-        labels = _relabelled(labels, verified(pairs, docs, rule))
-        tested = tested.unionByName(pairs)
-        width *= 4
+    left_over = verified_in_cells(members, labels, docs, rule)
+    labels = _relabelled(labels, left_over)
     roots = copies.join(labels.withColumnsRenamed({"node": "rep"}), "rep", "left")
     roots = roots.select("copy", F.coalesce("root", "rep").alias("root"))
     return all_rows.select(ROW, "doc_id", "copy").join(roots, "copy").select(ROW, "doc_id", "root")
