@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from faregauge.functions import calendar, labels
 from faregauge.operators.keys import dense_key, dimension_key
+from faregauge.operators.weather import one_per_day
 from faregauge.settings import UNKNOWN
 
 
@@ -85,7 +86,7 @@ def weather_attributes(transformed: DataFrame) -> DataFrame:
 
 def dim_weather(transformed: DataFrame, staging: str) -> DataFrame:
     """One row per observed day, keyed in date order."""
-    rows = weather_attributes(transformed)
+    rows = one_per_day(weather_attributes(transformed), "date_key")
     order = ["date_key"] + [c for c in rows.columns if c != "date_key"]
     return dense_key(rows, order, "weather_key", staging).withColumn(
         "loaded_at", F.current_timestamp()

@@ -83,15 +83,26 @@ def key_offsets(staged: DataFrame, by: Sequence[str]) -> DataFrame:
     One row per written range, so the window is as small as the number of tasks
     that wrote the table. Replacing one month changes only this table.
     """
-    ranges = staged.groupBy(*by).agg(F.count("*").alias("_n"), F.min("row_no").alias("_first"))
+    return offsets_of(range_counts(staged, by), by)
+
+
+def range_counts(staged: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows and first place of every written range."""
+    return staged.groupBy(*by).agg(F.count("*").alias("_n"), F.min("row_no").alias("_first"))
+
+
+def offsets_of(ranges: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Offsets from range counts, however the counts were put together."""
     before = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_n").over(before), F.lit(0))
-    return ranges.select(*by, (start + 1 - F.col("_first")).alias("key_offset"))
+    return ranges.select(
+        *by, (start + 1 - F.col("_first")).alias("key_offset"), (start + 1).alias("first_key")
+    )
 
 
 def numbered(staged: DataFrame, offsets: DataFrame, by: Sequence[str], name: str) -> DataFrame:
     """Staged rows with their dense key in front and the placing columns removed."""
-    joined = staged.join(F.broadcast(offsets), list(by))
+    joined = staged.join(F.broadcast(offsets.select(*by, "key_offset")), list(by))
     key: Column = (F.col("row_no") + F.col("key_offset")).alias(name)
     rest = [c for c in staged.columns if c not in ("part_no", "row_no")]
     return joined.select(key, *rest)
@@ -102,12 +113,11 @@ def first_numbered(
 ) -> DataFrame:
     """The rows with keys 1 to ``rows``.
 
-    Ranges that start later are dropped from the offsets, which prunes their
-    partitions, and within a range no row lies beyond its own position.
+    Ranges whose first key is higher are dropped from the offsets, which prunes their
+    partitions. A place within a range says nothing once ranges before it shrink.
     """
-    near = offsets.where(F.col("key_offset") <= rows)
-    front = staged.where(F.col("row_no") < rows)
-    return numbered(front, near, by, name).where(F.col(name) <= rows)
+    near = offsets.where(F.col("first_key") <= rows)
+    return numbered(staged, near, by, name).where(F.col(name) <= rows)
 
 
 def dense_key(rows: DataFrame, order: Sequence[str], name: str, path: str) -> DataFrame:

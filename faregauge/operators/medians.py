@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -13,7 +15,9 @@ _BINS = 1024
 def exact_medians(
     table: DataFrame, columns: Sequence[str], only_gappy: bool = False
 ) -> dict[str, float | None]:
-    """Median of every column, NULLs aside; None for a column without values.
+    """Median of every column, NULL and NaN aside; None for a column without values.
+
+    Infinities count as the least and the greatest values.
 
     ``only_gappy`` leaves out columns without NULLs, which need no replacement.
 
@@ -26,7 +30,7 @@ def exact_medians(
     """
     if not columns:
         return {}
-    wide = table.select([F.col(c).cast("double").alias(c) for c in columns])
+    wide = table.select([F.nullif(F.col(c).cast("double"), F.lit(math.nan)).alias(c) for c in columns])
     summary = wide.agg(
         F.count("*").alias("rows"),
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
@@ -55,12 +59,19 @@ def exact_medians(
             least, greatest = _narrow(histograms[c, low, high], rank, limits[c])
             if least == greatest:
                 found[c].append(least)
+            elif (least, greatest) == (low, high) and not _fresh(low, high):
+                raise ArithmeticError(f"the search for a median of {c} does not narrow: {low} to {high}")
             else:
                 still_open.append((c, rank, least, greatest))
         searches = still_open
     return {c: sum(v) / len(v) if v else None for c, v in found.items()}
 
 
+def _fresh(low: float, high: float) -> bool:
+    """Whether a bracket has values between its ends that a pass can still separate."""
+    return math.isfinite(low) and math.isfinite(high) and math.nextafter(low, high) < high
+
+
 def _narrow(bins: dict[int, tuple], rank: int, limits: tuple) -> tuple[float, float]:
     """Least and greatest value of the bin that holds ``rank``.
 
@@ -83,11 +94,18 @@ def _histograms(wide: DataFrame, brackets: set[tuple]) -> dict[tuple, dict[int,
     places = []
     for i, (name, low, high) in enumerate(ordered):
         value = F.col(name)
-        step = F.floor((value - low) / max(high - low, 5e-324) * _BINS).cast("int")
+        # Infinite ends get bins of their own; halves keep the widest range from overflowing.
+        below = max(low, -sys.float_info.max)
+        above = min(high, sys.float_info.max)
+        width = max(above / 2 - below / 2, 5e-324)
+        share = (value / 2 - below / 2) / width
+        step = F.least(F.floor(share * (_BINS - 2)).cast("int") + 1, F.lit(_BINS - 2))
         number = (
             F.when(value < low, -1)
             .when(value > high, _BINS)
-            .otherwise(F.least(step, F.lit(_BINS - 1)))
+            .when(value <= below, 0)
+            .when(value >= above, _BINS - 1)
+            .otherwise(step)
         )
         places.append(F.struct(F.lit(i).alias("i"), number.alias("bin"), value.alias("value")))
     placed = wide.select(F.explode(F.array(*places)).alias("p")).where("p.value IS NOT NULL")

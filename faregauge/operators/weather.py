@@ -51,6 +51,18 @@ def first_file_per_day(days: DataFrame, rank: str = "file_rank") -> DataFrame:
     return dated.join(F.broadcast(winner), ["date", rank], "left_semi").drop(rank)
 
 
+def one_per_day(days: DataFrame, key: str = "date") -> DataFrame:
+    """One row per date, for a dimension; of several the least in the order of its columns.
+
+    A trip joins at most one weather day then, so days that a source repeats don't
+    repeat trips. Partial aggregation leaves one row per date and task.
+    """
+    columns = [c for c in days.columns if c != key]
+    dated = days.where(F.col(key).isNotNull())
+    least = dated.groupBy(key).agg(F.min(F.struct(*columns)).alias("_day"))
+    return least.select(key, "_day.*").select(*days.columns)
+
+
 def forward_fill(days: DataFrame, order: str = "date", columns=FILLED) -> DataFrame:
     """Replace NULL by the last known value of an earlier or the same day.
 

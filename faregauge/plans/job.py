@@ -16,11 +16,12 @@ from faregauge.operators import dimensions, keys
 from faregauge.operators.clean import clean_trips
 from faregauge.operators.fact import TRIP_ORDER, build_fact, by_month, with_load_time
 from faregauge.operators.filters import MONTH_PARTITION
-from faregauge.operators.weather import forward_fill, transform_weather
+from faregauge.operators.weather import forward_fill, one_per_day, transform_weather
 from faregauge.plans.star import StarSchema
+from faregauge.schemas import WEATHER_DAILY, ZONE_LOOKUP
 from faregauge.session import configure
 from faregauge.settings import CleanRules
-from faregauge.sources.files import path_exists
+from faregauge.sources.files import empty_table, hadoop_path, path_exists
 from faregauge.sources.sinks import write_mart
 from faregauge.streaming import months
 from faregauge.streaming.loading import load_new_files, read_staging
@@ -31,8 +32,10 @@ class MonthlyJob:
     """The incremental pipeline over one target folder.
 
     ``trip_file`` names the data set of a month. ``weather`` and ``zones`` give
-    the daily observations and the zone table; when one of them fails the run goes
-    on with what the dimensions hold already.
+    the daily observations and the zone table; when one of them can't be read the run
+    goes on with what its dimension holds, or with an empty table in the first run.
+    Their later versions reach stored months: keys stay, attributes follow the source,
+    and months whose weather days changed are built again.
     """
 
     spark: SparkSession
@@ -50,8 +53,23 @@ class MonthlyJob:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def _versions(self, name: str) -> list[int]:
+        """Complete versions of a small table, oldest first."""
+        files, folder = hadoop_path(self.spark, self.path(name))
+        if not files.exists(folder):
+            return []
+        found = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("v")]
+        return sorted(int(p.getName()[1:]) for p in found if path_exists(self.spark, f"{p}/_SUCCESS"))
+
+    def _replace(self, name: str, rows: DataFrame) -> None:
+        """Write the next version; readers switch when it is complete."""
+        number = (self._versions(name) or [0])[-1] + 1
+        rows.write.mode("overwrite").parquet(f"{self.path(name)}/v{number:06}")
+
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A stored table, in its latest version if it has versions."""
+        versions = self._versions(name)
+        return self.spark.read.parquet(f"{self.path(name)}/v{versions[-1]:06}" if versions else self.path(name))
 
     def run_next(self) -> DataFrame:
         """Process the next month; returns the row that describes the step.
@@ -64,7 +82,7 @@ class MonthlyJob:
         step = months.next_batch_month(finished, self.first, self.last)
         plan = step.first()
         if not plan["is_valid"]:
-            self.extend_dimensions(self.read("cleaned"))
+            self.refresh_dimensions(self.read("cleaned"))
             self.rebuild_fact(None)
             return self.spark.createDataFrame([plan], step.schema)
         month = date(plan["year"], plan["month"], 1)
@@ -72,14 +90,16 @@ class MonthlyJob:
             self.spark, [self.trip_file(month)], self.path("staging"), self.path("files")
         )
         batch = self.clean_month(month)
-        self.extend_dimensions(batch)
-        self.rebuild_fact(batch)
+        changed = self.refresh_dimensions(batch)
+        first = F.trunc("pickup_datetime", "month")
+        own = {row[0] for row in batch.select(first).distinct().collect()}
+        self.rebuild_fact(None if changed is None else own | changed)
         months.mark_batch_complete(self.spark, self.path("months"), month)
         return self.spark.createDataFrame([plan], step.schema)
 
     def clean_month(self, month: date) -> DataFrame:
         """Clean and store the rows of one file; only its partition is replaced."""
-        name = self.trip_file(month).rstrip("/").split("/")[-1]
+        name = self.trip_file(month)
         raw = read_staging(self.spark, self.path("staging"), name)
         if raw.isEmpty():
             raise ValueError(f"no trips were loaded from {name}")
@@ -93,59 +113,94 @@ class MonthlyJob:
         )
         return self.read("cleaned").where(F.col("batch_month") == label)
 
-    def extend_dimensions(self, batch: DataFrame) -> None:
-        """Add the dates, zones and weather days that the dimensions lack."""
-        dates = dimensions.calendar_columns(dimensions.distinct_dates(batch))
-        self.extend("dim_time", "time_key", "date_key", dates, one_per_day=True)
-        zones = dimensions.zone_attributes(dimensions.union_locations(batch), self.zones())
-        stamped = zones.withColumn("created_at", F.current_timestamp())
-        self.extend("dim_location", "location_key", "location_id", stamped)
+    def _source(self, name: str, read: Callable[[], DataFrame]) -> DataFrame | None:
+        """Rows of an optional source, None when it can't be read.
+
+        Only reading is forgiven; what fails while writing is an error.
+        """
         try:
-            days = dimensions.weather_attributes(transform_weather(forward_fill(self.weather())))
-            stamped = days.withColumn("loaded_at", F.current_timestamp())
-            self.extend("dim_weather", "weather_key", "date_key", stamped)
-        except Exception as error:  # weather is optional: keep what is stored
-            if not path_exists(self.spark, self.path("dim_weather")):
-                raise
-            warnings.warn(f"weather not refreshed: {error}", stacklevel=2)
-
-    def extend(
-        self, name: str, key: str, member: str, candidates: DataFrame, one_per_day: bool = False
-    ) -> None:
-        """Append the members a dimension lacks, numbered after the present ones.
-
-        Keys that stored trips use never change, which is what allows to leave
-        the other months alone.
+            return read()
+        except Exception as error:  # noqa: BLE001  sources raise what they like
+            warnings.warn(f"{name} not refreshed: {error}", stacklevel=2)
+            return None
+
+    def refresh_dimensions(self, batch: DataFrame) -> set[date] | None:
+        """Bring all dimensions up to date; the months whose trips look different now.
+
+        None stands for all months. Weather days concern their own month, a moved
+        zone may concern any.
         """
-        path = self.path(name)
-        highest = 0
-        if path_exists(self.spark, path):
-            present = self.read(name)
-            candidates = candidates.join(present.select(member), member, "left_anti")
-            if candidates.isEmpty():
-                return
-            highest = present.agg(F.max(key)).first()[0]
+        dates = dimensions.calendar_columns(dimensions.distinct_dates(batch))
+        self.refresh("dim_time", "time_key", "date_key", dates, one_per_day=True)
+        zones = self._source("zones", self.zones)
+        known = zones if zones is not None else empty_table(self.spark, ZONE_LOOKUP)
+        used = dimensions.union_locations(batch)
+        if self._versions("dim_location"):
+            used = used.unionByName(self.read("dim_location").select(*used.columns)).distinct()
+        places = dimensions.zone_attributes(used, known)
+        moved = self.refresh("dim_location", "location_key", "location_id", places, replace=zones is not None)
+        weather = self._source("weather", self.weather)
+        days = weather if weather is not None else empty_table(self.spark, WEATHER_DAILY)
+        days = one_per_day(dimensions.weather_attributes(transform_weather(forward_fill(days))), "date_key")
+        changed = self.refresh("dim_weather", "weather_key", "date_key", days, replace=weather is not None)
+        if moved is not None and not moved.isEmpty():
+            return None
+        if changed is None:
+            return set()
+        return {row[0] for row in changed.select(F.trunc("date_key", "month")).distinct().collect()}
+
+    def refresh(
+        self, name: str, key: str, member: str, current: DataFrame, one_per_day: bool = False, replace: bool = True
+    ) -> DataFrame | None:
+        """Present members keep their keys, new ones are numbered after them.
+
+        With ``replace`` present members take the attributes of ``current``; those it
+        lacks stay as they are. Returns the present members whose attributes changed
+        and, for a dimension that trips may lack, the new ones; None in the first run.
+        """
+        stamp = {"dim_location": "created_at", "dim_weather": "loaded_at"}.get(name)
+        stamped = current.withColumn(stamp, F.current_timestamp()) if stamp else current
+        present = self.read(name) if self._versions(name) else None
+        fresh = stamped if present is None else stamped.join(present.select(member), member, "left_anti")
+        highest = 0 if present is None else present.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
         if one_per_day:
-            numbered = keys.dimension_key(candidates, member, key)
+            numbered = keys.dimension_key(fresh, member, key)
         else:
-            numbered = keys.dense_key(candidates, [member], key, self.path(f"_{name}"))
-        numbered.withColumn(key, F.col(key) + highest).write.mode("append").parquet(path)
-
-    def rebuild_fact(self, batch: DataFrame | None) -> None:
-        """Rewrite the pickup months a batch falls into, or all of them.
+            numbered = keys.dense_key(fresh, [member], key, self.path(f"_{name}"))
+        added = numbered.withColumn(key, F.col(key) + highest)
+        if present is None:
+            self._replace(name, added)
+            return None
+        attributes = [c for c in current.columns if c != member]
+        kept, changed = present, None
+        if replace:
+            newer = current.select(member, F.struct(*attributes).alias("_new"))
+            both = present.join(newer, member, "left").withColumn("_old", F.struct(*attributes))
+            changed = both.where("_new IS NOT NULL AND NOT (_new <=> _old)").select(member)
+            taken = F.col("_new").isNotNull()
+            kept = both.select(
+                *[F.when(taken, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in attributes else F.col(c) for c in present.columns]
+            )
+        self._replace(name, kept.unionByName(added))
+        if name != "dim_weather":
+            return changed
+        gained = added.select(member)
+        return gained if changed is None else changed.unionByName(gained)
+
+    def rebuild_fact(self, touched: set[date] | None) -> None:
+        """Rewrite the given pickup months, or all of them.
 
         A batch touches at most twelve months, as the clean rules keep one year.
-        Its months are read back as time ranges, which file statistics can answer.
+        Months are read back as time ranges, which file statistics can answer. Counts
+        per range are taken from the rewritten months only.
         """
         cleaned = self.read("cleaned").drop("batch_month")
-        if batch is not None:
-            first = F.trunc("pickup_datetime", "month")
-            touched = [row[0] for row in batch.select(first).distinct().collect()]
+        if touched is not None:
             pickup = F.col("pickup_datetime")
             ranges = [
                 (pickup >= F.lit(m).cast("timestamp_ntz"))
                 & (pickup < F.add_months(F.lit(m), 1).cast("timestamp_ntz"))
-                for m in touched
+                for m in sorted(touched)
             ]
             cleaned = cleaned.where(reduce(or_, ranges, F.lit(False)))
         rows = build_fact(
@@ -154,7 +209,16 @@ class MonthlyJob:
         keys.stage_ordered(
             by_month(rows), TRIP_ORDER, self.path("fact"), MONTH_PARTITION, touched_only=True
         )
-        offsets = keys.key_offsets(self.read("fact"), StarSchema.FACT_RANGES)
+        written, labels = self.read("fact"), None
+        if touched is not None and self._versions("fact_ranges"):
+            labels = [f"{m:%Y-%m}" for m in touched]
+            written = written.where(F.col(MONTH_PARTITION).isin(labels))
+        counts = keys.range_counts(written, StarSchema.FACT_RANGES)
+        if labels is not None:
+            others = self.read("fact_ranges").where(~F.col(MONTH_PARTITION).isin(labels))
+            counts = others.unionByName(counts)
+        self._replace("fact_ranges", counts)
+        offsets = keys.offsets_of(self.read("fact_ranges"), StarSchema.FACT_RANGES)
         write_mart(offsets, self.path("fact_offsets"))
 
     def fact(self) -> DataFrame:

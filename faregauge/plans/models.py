@@ -79,10 +79,13 @@ def error_measures(label: str, prediction: str = "prediction") -> list[Column]:
     """RMSE, MAE and R² as aggregates, so that one pass gives all three."""
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     squares = F.sum((y - p) * (y - p))
+    spread = F.var_pop(y) * F.count("*")
+    # A constant target has no spread to explain: 1 if it is met exactly, else 0.
+    constant = F.when(squares == 0, F.lit(1.0)).otherwise(F.lit(0.0))
     return [
         F.sqrt(squares / F.count("*")).alias("rmse"),
         F.avg(F.abs(y - p)).alias("mae"),
-        (1 - squares / (F.var_pop(y) * F.count("*"))).alias("r2"),
+        F.when(spread > 0, 1 - F.try_divide(squares, spread)).otherwise(constant).alias("r2"),
     ]
 
 

@@ -20,7 +20,6 @@ RUNTIME_CONF = {
 
 # Input bytes per shuffle partition before adaptive execution merges small ones.
 BYTES_PER_PARTITION = 64 << 20
-MAX_PARTITIONS = 200_000
 
 
 def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
@@ -35,7 +34,7 @@ def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
             spark.conf.set(key, value)
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     present = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(input_bytes // BYTES_PER_PARTITION, MAX_PARTITIONS)
+    wanted = input_bytes // BYTES_PER_PARTITION
     if wanted > present:
         spark.conf.set(initial, str(wanted))
     return spark

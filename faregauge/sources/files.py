@@ -102,39 +102,39 @@ def scan_trips(
     return spark.read.schema(schema).parquet(*paths)
 
 
-def append_files(frames: Sequence[DataFrame], schema: StructType = TRIPS_RAW) -> DataFrame:
-    """Rows of several files by name, each column cast to its declared type."""
+def _fitted(frame: DataFrame, schema: StructType) -> list[Column]:
+    """The declared columns, matched by name whatever the case, NULL where missing."""
+    present = {name.lower(): name for name in frame.columns}
+    return [
+        (F.col(present[field.name.lower()]) if field.name.lower() in present else F.lit(None))
+        .cast(field.dataType)
+        .alias(field.name)
+        for field in schema
+    ]
 
-    def fit(frame: DataFrame) -> DataFrame:
-        present = {name.lower(): name for name in frame.columns}
-        return frame.select(
-            *[
-                (
-                    F.col(present[field.name.lower()])
-                    if field.name.lower() in present
-                    else F.lit(None)
-                )
-                .cast(field.dataType)
-                .alias(field.name)
-                for field in schema
-            ]
-        )
 
-    return reduce(DataFrame.unionByName, [fit(frame) for frame in frames])
+def append_files(frames: Sequence[DataFrame], schema: StructType = TRIPS_RAW) -> DataFrame:
+    """Rows of several files by name, each column cast to its declared type."""
+    return reduce(DataFrame.unionByName, [f.select(*_fitted(f, schema)) for f in frames])
 
 
 def scan_mixed(
-    spark: SparkSession, paths: Sequence[str], schema: StructType = TRIPS_RAW
+    spark: SparkSession, paths: Sequence[str], schema: StructType = TRIPS_RAW, **extra: Column
 ) -> DataFrame:
     """Files whose column types differ, such as whole numbers in some and fractions in others.
 
     Footers are read first and files of one schema share a scan, so the plan
-    grows with the number of schemas and not of files.
+    grows with the number of schemas and not of files. ``extra`` columns are read
+    from each file's metadata.
     """
     groups: dict[str, list[str]] = {}
     for path in paths:
         groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-    return append_files([spark.read.parquet(*same) for same in groups.values()], schema)
+    fitted = []
+    for same in groups.values():
+        rows = spark.read.parquet(*same)
+        fitted.append(rows.select(*_fitted(rows, schema), *[c.alias(name) for name, c in extra.items()]))
+    return reduce(DataFrame.unionByName, fitted)
 
 
 def audit_files(

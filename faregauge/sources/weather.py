@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from faregauge.functions.labels import weather_label
 from faregauge.schemas import WEATHER_DAILY, WEATHER_HOURLY, WEATHER_PAYLOAD
+from faregauge.operators.weather import first_file_per_day
 from faregauge.sources.files import scan_mixed
 
 
@@ -24,10 +25,17 @@ def file_interval(paths: DataFrame) -> DataFrame:
 
 
 def scan_weather_daily(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Daily observations, the ten declared columns only, in their declared types."""
+    """Daily observations, the ten declared columns only, in their declared types.
+
+    Of several files that hold a date the first in order of their paths counts.
+    """
     if not paths:
         raise ValueError("no daily weather file to read")
-    return scan_mixed(spark, paths, WEATHER_DAILY)
+    found = sorted({f for path in paths for f in spark.read.parquet(path).inputFiles()})
+    if len(found) < 2:
+        return scan_mixed(spark, paths, WEATHER_DAILY)
+    rank = F.col("_metadata.file_path")
+    return first_file_per_day(scan_mixed(spark, found, WEATHER_DAILY, file_rank=rank))
 
 
 def scan_weather_hourly(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import warnings
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from faregauge.schemas import FILE_LEDGER, TRIPS_RAW
-from faregauge.sources.files import empty_table, path_exists, scan_trips
+from faregauge.sources.files import empty_table, hadoop_path, path_exists, scan_trips
 
 SOURCE = "source_file"
 
@@ -70,7 +73,8 @@ def load_new_files(spark: SparkSession, paths: Sequence[str], staging: str, ledg
 
     Returns the files added by this call. Rows are stored by source file and the
     write replaces only the partitions it brings, so that repeating a load that
-    died before its ledger entry does not double the rows.
+    died before its ledger entry does not double the rows. A partition is named by
+    a digest of the whole path: equal file names in two folders stay apart.
     """
     ledger_guard(spark, staging, ledger)
     present = [p for p in paths if path_exists(spark, p)]
@@ -82,7 +86,7 @@ def load_new_files(spark: SparkSession, paths: Sequence[str], staging: str, ledg
         if not path_exists(spark, ledger):
             raise ValueError("no trip file could be loaded")
         return empty_table(spark, FILE_LEDGER)
-    rows = scan_trips(spark, sorted(new)).withColumn(SOURCE, source_name(sorted(new)))
+    rows = scan_trips(spark, sorted(new)).withColumn(SOURCE, source_of_row(spark, new))
     # No shuffle: a task reads few files and so writes few partitions.
     (
         rows.write.mode("overwrite")
@@ -97,16 +101,42 @@ def load_new_files(spark: SparkSession, paths: Sequence[str], staging: str, ledg
     return spark.createDataFrame([(p,) for p in sorted(new)], "file_path string")
 
 
-def source_name(paths: Sequence[str]):
-    """Name of the listed file or directory a row was read from."""
-    parents = sorted({p.rstrip("/").rsplit("/", 1)[0].split("/")[-1] for p in paths})
-    return F.regexp_extract("_metadata.file_path", f"/(?:{'|'.join(parents)})/([^/]+)", 1)
+def full_path(spark: SparkSession, path: str) -> str:
+    """``path`` with scheme and folder, escaped the way file metadata shows it."""
+    store, target = hadoop_path(spark, path)
+    return _one_slash(store.makeQualified(target).toUri().toString())
+
+
+def _one_slash(path: str) -> str:
+    return re.sub(r"^([A-Za-z][\w+.-]*):/+", r"\1:/", path.rstrip("/"))
+
+
+def source_id(spark: SparkSession, path: str) -> str:
+    """Name of the staging partition that holds the rows of a file or folder."""
+    return hashlib.md5(full_path(spark, path).encode()).hexdigest()
+
+
+def source_of_row(spark: SparkSession, paths: Sequence[str]) -> Column:
+    """``source_id`` of the listed path that a row was read from.
+
+    Paths are compared as prefixes, the longest first, never as patterns. A row from
+    nowhere is an error: its partition would be lost with the next load.
+    """
+    read_from = F.regexp_replace("_metadata.file_path", r"^([A-Za-z][\w+.-]*):/+", "$1:/")
+    unknown = F.raise_error(F.concat(F.lit("row from a file that was not listed: "), read_from))
+    listed = sorted({full_path(spark, p): source_id(spark, p) for p in paths}.items(), key=lambda x: len(x[0]))
+
+    def within(path: str) -> Column:
+        return (read_from == path) | F.startswith(read_from, F.lit(path + "/"))
+
+    # Built from the shortest to the longest, so that the longest is asked first.
+    return reduce(lambda rest, x: F.when(within(x[0]), F.lit(x[1])).otherwise(rest), listed, unknown)
 
 
 def read_staging(spark: SparkSession, staging: str, source: str | None = None) -> DataFrame:
-    """Trips loaded so far, or those of one source file, whose partition alone is read."""
+    """Trips loaded so far, or those of one source path, whose partition alone is read."""
     schema = StructType([*TRIPS_RAW, StructField(SOURCE, StringType())])
     trips = spark.read.schema(schema).parquet(staging)
     if source is not None:
-        trips = trips.where(F.col(SOURCE) == source)
+        trips = trips.where(F.col(SOURCE) == source_id(spark, source))
     return trips.drop(SOURCE)

@@ -513,7 +513,7 @@ _BODIES = {
             SELECT tpep_pickup_datetime AS pickup_datetime, total_amount::FLOAT AS total_amount,
               coalesce(temperature_2m, -999)::FLOAT AS temperature_2m
             FROM trips_raw LEFT JOIN skies ON date_key = tpep_pickup_datetime::DATE"""
-    + f""" WHERE {_CLEAN} AND trip_month BETWEEN '1997-01' AND '1997-03'
+    + f""" WHERE {_CLEAN} AND trip_month BETWEEN '1997-01' AND '1997-06'
               AND "PULocationID" IS NOT NULL AND "DOLocationID" IS NOT NULL))
         GROUP BY ALL""",
     "upsert_weather_days": "SELECT * FROM first_records",

@@ -357,7 +357,7 @@ def _(w: Workspace):
 
 @query("process_one_batch")
 def _(w: Workspace):
-    """A quarter month by month, a run past its end, and the fact per month."""
+    """Half a year month by month, two runs past its end, and the fact per month."""
     job = MonthlyJob(
         w.spark,
         w.fresh("job"),
@@ -366,10 +366,11 @@ def _(w: Workspace):
         w.zones,
         RULES,
         FIRST,
-        date(1997, 3, 1),
+        LAST,
     )
-    while job.run_next().first()["is_valid"]:
-        pass
+    # Six months, then two runs past the end.
+    valid = [job.run_next().first()["is_valid"] for _ in range(8)]
+    assert valid == [True] * 6 + [False] * 2, valid
     trips = job.fact()
     return trips.groupBy(filters.MONTH_PARTITION).agg(
         F.count("*").alias("trips"),

@@ -35,8 +35,17 @@ def test_load_twice_is_once(spark, make, tmp_path):
     assert values(loading.load_new_files(spark, [first, second], staging, ledger)) == [(second,)]
     assert loading.load_new_files(spark, [first, second], staging, ledger).isEmpty()
     assert loading.read_staging(spark, staging).count() == 6
-    name = second.split("/")[-1]
-    assert loading.read_staging(spark, staging, name).count() == 3
+    assert loading.read_staging(spark, staging, second).count() == 3
+
+
+@pytest.mark.parametrize("folders", [("2024", "2025"), ("landing/x/landing", "landing"), ("a b+(c)", "a%20b")])
+def test_equal_names_in_two_folders(spark, make, tmp_path, folders):
+    staging, ledger = str(tmp_path / "staging"), str(tmp_path / "ledger")
+    paths = [land(make, tmp_path / folder, 1, count=n) for folder, n in zip(folders, (5, 3))]
+    loading.load_new_files(spark, paths[:1], staging, ledger)
+    loading.load_new_files(spark, paths, staging, ledger)
+    assert loading.read_staging(spark, staging).count() == 8
+    assert [loading.read_staging(spark, staging, p).count() for p in paths] == [5, 3]
 
 
 def test_a_load_that_died_before_its_ledger_entry(spark, make, tmp_path):
@@ -46,7 +55,7 @@ def test_a_load_that_died_before_its_ledger_entry(spark, make, tmp_path):
     other = str(tmp_path / "other")
     loading.load_new_files(spark, [first, second], staging + "2", other)
     # The rows of the second file arrive, but no ledger entry is written.
-    rows = loading.scan_trips(spark, [second]).withColumn(loading.SOURCE, F.lit(second.split("/")[-1]))
+    rows = loading.scan_trips(spark, [second]).withColumn(loading.SOURCE, F.lit(loading.source_id(spark, second)))
     rows.write.mode("append").partitionBy(loading.SOURCE).parquet(staging)
     loading.load_new_files(spark, [first, second], staging, ledger)
     assert loading.read_staging(spark, staging).count() == 6
