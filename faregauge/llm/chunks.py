@@ -20,8 +20,8 @@ import pyarrow.compute as pc
 
 # White space beside a space, a space at the end. RE2 knows ASCII \s and the Z classes.
 _UNSAFE = r" [\s\x0b\x{85}\pZ]|[\s\x0b\x{85}\pZ] | \z"
-# Chunks that a worker remembers, some 250 bytes each; then it starts anew.
-REMEMBERED = 400_000
+# Chunks that a worker remembers, some 250 bytes each.
+REMEMBERED = 600_000
 
 Encoder = Callable[[list[str]], list[bytes]]
 
@@ -40,13 +40,21 @@ class ChunkEncoder:
         self._chunks, self._texts = chunks, texts
         self._unsafe = "|".join([_UNSAFE, *map(_escaped, special)])
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _ids_of(self, keys: list[str]) -> list[bytes]:
-        known = self._known
-        if len(known) > REMEMBERED:
-            known.clear()
+        # Two generations: what is met again in time is carried over, rare chunks go.
+        if len(self._known) > REMEMBERED // 2:
+            self._known, self._older = {}, self._known
+        known, older = self._known, self._older
         found = [known.get(k) for k in keys]
-        missing = [i for i, ids in enumerate(found) if ids is None]
+        missing = []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            key = keys[i]
+            if (ids := older.get(key)) is None:
+                missing.append(i)
+            else:
+                found[i] = known[key] = ids
         if missing:
             fresh = [keys[i] for i in missing]
             for i, key, ids in zip(missing, fresh, self._chunks(fresh), strict=True):
