@@ -172,14 +172,19 @@ RELATIONS = {
         FROM trips_raw WHERE {_CLEAN}""",
     "hours": f"""
         SELECT *, {_weather_label("weathercode")} AS weather_category FROM (
-          SELECT o_orderdate + to_hours(o_orderkey * 7 % 24) AS datetime,
-            CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey % 95 - 42 END::DOUBLE AS temperature_2m,
+          SELECT observed + to_hours(o_orderkey * 7 % 24) AS datetime,
+            CASE WHEN o_orderkey % 17 <> 0 AND seen THEN o_custkey % 95 - 42 END::DOUBLE AS temperature_2m,
             (o_custkey % 100)::DOUBLE AS relative_humidity_2m,
             (o_orderkey % 13 * 50 - 10)::DOUBLE AS precipitation,
-            CASE WHEN o_orderkey % 31 <> 0 THEN {_CODES}[o_orderkey % 12 + 1] END::DOUBLE AS weathercode,
+            CASE WHEN o_orderkey % 31 <> 0 AND seen THEN {_CODES}[o_orderkey % 12 + 1] END::DOUBLE AS weathercode,
             (o_custkey % 40)::DOUBLE AS wind_speed_10m,
             (o_custkey * 7 % 360)::DOUBLE AS wind_direction_10m
-          FROM orders WHERE year(o_orderdate) = 1997 AND day(o_orderdate) % 10 <> 0)""",
+          FROM (
+            SELECT *, observed::DATE - DATE '1970-01-01' <> 23 * ((observed::DATE - DATE '1970-01-01') // 23)
+              AND observed::DATE >= DATE '1995-01-10' AS seen
+            FROM (
+              SELECT *, date_trunc('day', o_orderdate) - to_days((day(o_orderdate) % 10 = 0)::INT) AS observed
+              FROM orders)))""",
     "days": """
         SELECT * FROM (
           SELECT datetime::DATE AS date, avg(temperature_2m) AS temperature_2m_mean,

@@ -84,13 +84,22 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One observation per order of the year, with gaps in values and in days."""
-    day, key, customer = (F.col(c) for c in ("o_orderdate", "o_orderkey", "o_custkey"))
+    """One observation per order, with gaps in values, and days without any.
+
+    Observations of every tenth day of a month count for the day before, so trips of
+    these days lack weather. Days whose number from 1970 is a multiple of 23 have neither
+    temperature nor code, and so do the first ones of the table.
+    """
+    ordered, key, customer = (F.col(c) for c in ("o_orderdate", "o_orderkey", "o_custkey"))
     code = F.element_at(F.array(*map(F.lit, CODES)), (key % len(CODES) + 1).cast("int"))
-    code = F.when(key % 31 != 0, code).cast("double")
+    day = F.when(F.dayofmonth(ordered) % 10 == 0, F.date_sub(F.to_date(ordered), 1)).otherwise(F.to_date(ordered))
+    number = F.datediff(day, F.lit("1970-01-01").cast("date"))
+    seen = (number % 23 != 0) & (day >= F.lit("1995-01-10").cast("date"))
+    day = day.cast("timestamp_ntz")
+    code = F.when((key % 31 != 0) & seen, code).cast("double")
     columns = {
         "datetime": F.timestamp_add("HOUR", (key * 7 % 24).cast("int"), day),
-        "temperature_2m": F.when(key % 17 != 0, customer % 95 - 42),
+        "temperature_2m": F.when((key % 17 != 0) & seen, customer % 95 - 42),
         "relative_humidity_2m": customer % 100,
         "precipitation": key % 13 * 50 - 10,
         "weathercode": code,
@@ -98,11 +107,7 @@ def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         "wind_direction_10m": customer * 7 % 360,
         "weather_category": weather_label(code),
     }
-    year = (day >= F.lit("1997-01-01").cast("timestamp_ntz")) & (
-        day < F.lit("1998-01-01").cast("timestamp_ntz")
-    )
-    observed = read(spark, sf_dir, "orders").where(year & (F.dayofmonth(day) % 10 != 0))
-    return observed.select(
+    return read(spark, sf_dir, "orders").select(
         *[columns[field.name].cast(field.dataType).alias(field.name) for field in WEATHER_HOURLY]
     )
 
