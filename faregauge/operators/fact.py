@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faregauge.functions import calendar, labels
+from faregauge.operators import keys
 from faregauge.operators.filters import MONTH_PARTITION, has_zones
 from faregauge.settings import NO_WEATHER, NO_WEATHER_KEY, UNKNOWN
 
-# Total order of trips: equal rows under it are equal in every column.
+# Total order of cleaned trips: equal rows under it are equal in every column of the fact,
+# as zones and days determine the rest.
 TRIP_ORDER = (
     "pickup_datetime",
     "dropoff_datetime",
-    "pickup_location_key",
-    "dropoff_location_key",
+    "pickup_location_id",
+    "dropoff_location_id",
     "rate_code_id",
     "passenger_count",
     "trip_distance",
@@ -26,7 +30,16 @@ TRIP_ORDER = (
     "total_amount",
     "tip_percentage",
     "store_and_fwd_flag",
-    "weather_key",
+)
+
+
+_TRIP_COLUMNS = (
+    *TRIP_ORDER,
+    "hour_of_day",
+    "day_of_week",
+    "is_weekend",
+    "is_peak_hour",
+    "trip_duration_min",
 )
 
 
@@ -66,8 +79,9 @@ def build_fact(
     locations: DataFrame,
     weather: DataFrame,
     keep_null_weather: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Trips with both zones, joined to all dimensions.
+    """Trips with both zones, joined to all dimensions. ``keep`` passes columns through.
 
     All columns of the fact but its key and load time, which storing it adds.
 
@@ -124,9 +138,30 @@ def build_fact(
         *weather_or_default(keep_null_weather),
         labels.duration_label(F.col("trip_duration_min")).alias("trip_duration_category"),
         labels.tip_label(F.col("fare_amount"), F.col("tip_percentage")).alias("tip_category"),
+        *keep,
     )
 
 
+def write_fact(
+    cleaned: DataFrame,
+    times: DataFrame,
+    locations: DataFrame,
+    weather: DataFrame,
+    path: str,
+    touched_only: bool = False,
+) -> None:
+    """Store the fact in trip order by pickup month, with the place of every row.
+
+    Cleaned trips are cut to the columns of the fact, dealt and sorted before the joins:
+    the sample of the ranges reads no join, and broadcast joins keep the order.
+    """
+    narrow = by_month(has_zones(cleaned)).select(*_TRIP_COLUMNS, MONTH_PARTITION)
+    ordered = keys.placed(narrow, TRIP_ORDER, MONTH_PARTITION)
+    keep = (MONTH_PARTITION, "part_no", "row_no")
+    rows = build_fact(ordered, times, locations, weather, keep=keep)
+    keys.write_staged(rows, path, MONTH_PARTITION, touched_only)
+
+
 def with_load_time(stored: DataFrame) -> DataFrame:
     """Adds ``loaded_at``: when the file a row is in was written.
 

@@ -39,9 +39,19 @@ def stage_ordered(
     ``partition_by`` must not decrease along ``order``. With ``touched_only`` the
     partitions that ``rows`` does not contain stay as they are.
     """
+    write_staged(placed(rows, order, partition_by), path, partition_by, touched_only)
+    return rows.sparkSession.read.schema(placed(rows, order, partition_by).schema).parquet(path)
+
+
+def placed(rows: DataFrame, order: Sequence[str], partition_by: str | None = None) -> DataFrame:
+    """``rows`` range-partitioned and sorted, with their range and place.
+
+    Joins that keep rows where they are, such as broadcast joins, may follow before the
+    table is written; sampling and shuffle then see the narrow rows only.
+    """
     keys = [F.col(c).asc_nulls_last() for c in ([partition_by] if partition_by else []) + list(order)]
     tie = F.col("_tie").asc()
-    placed = (
+    return (
         rows.withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(*keys, tie)
         .sortWithinPartitions(*keys, tie)
@@ -51,11 +61,17 @@ def stage_ordered(
         .withColumn("row_no", F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1))
         .drop("_place")
     )
-    write = placed.write.mode("overwrite")
+
+
+def write_staged(
+    rows: DataFrame, path: str, partition_by: str | None = None, touched_only: bool = False
+) -> None:
+    """Write placed rows. A range spans few partitions, so a task keeps their files open
+    side by side (``spark.sql.maxConcurrentOutputFileWriters``) instead of sorting again."""
+    write = rows.write.mode("overwrite")
     if touched_only:
         write = write.option("partitionOverwriteMode", "dynamic")
     (write.partitionBy(partition_by) if partition_by else write).parquet(path)
-    return rows.sparkSession.read.schema(placed.schema).parquet(path)
 
 
 def sorted_evenly(rows: DataFrame, *keys: Column) -> DataFrame:

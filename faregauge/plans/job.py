@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from faregauge.operators import dimensions, keys
 from faregauge.operators.clean import clean_trips
-from faregauge.operators.fact import TRIP_ORDER, build_fact, by_month, with_load_time
+from faregauge.operators.fact import with_load_time, write_fact
 from faregauge.operators.filters import MONTH_PARTITION
 from faregauge.operators.weather import forward_fill, one_per_day, transform_weather
 from faregauge.plans.star import StarSchema
@@ -203,12 +203,8 @@ class MonthlyJob:
                 for m in sorted(touched)
             ]
             cleaned = cleaned.where(reduce(or_, ranges, F.lit(False)))
-        rows = build_fact(
-            cleaned, self.read("dim_time"), self.read("dim_location"), self.read("dim_weather")
-        )
-        keys.stage_ordered(
-            by_month(rows), TRIP_ORDER, self.path("fact"), MONTH_PARTITION, touched_only=True
-        )
+        dimension = [self.read(name) for name in ("dim_time", "dim_location", "dim_weather")]
+        write_fact(cleaned, *dimension, self.path("fact"), touched_only=True)
         written, labels = self.read("fact"), None
         if touched is not None and self._versions("fact_ranges"):
             labels = [f"{m:%Y-%m}" for m in touched]

@@ -88,10 +88,9 @@ class StarSchema:
         """Fact rows in trip order, partitioned by pickup month."""
 
         def write(path: str) -> None:
-            rows = fact.build_fact(
-                self.cleaned(), self.dim_time(), self.dim_location(), self.dim_weather()
+            fact.write_fact(
+                self.cleaned(), self.dim_time(), self.dim_location(), self.dim_weather(), path
             )
-            keys.stage_ordered(fact.by_month(rows), fact.TRIP_ORDER, path, MONTH_PARTITION)
 
         return self.store.table("fact", write)
 

@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A written range of trips spans a month or two: no sort by month before the write.
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
 }
 
 

@@ -814,7 +814,7 @@ _BODIES = {
         WHERE value > 0 OR contains(metric, 'r_') OR metric LIKE 'rows%' OR metric LIKE 'ret%'""",
     "s_weather_report": """
         SELECT a.n AS rows_before, b.n AS rows_after, a.n - b.n AS anomalies_found
-        FROM (SELECT count(*) AS n FROM weather_records) a, (SELECT count(*) AS n FROM first_records) b""",
+        FROM (SELECT count(*) AS n FROM days) a, (SELECT count(*) AS n FROM weather_days) b""",
     "dq_null_rates": " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", count(*) FILTER (\"{c}\" IS NULL) AS null_rows,"
         f" round(count(*) FILTER (\"{c}\" IS NULL) / count(*), 4) AS null_rate FROM trips_raw"

@@ -967,10 +967,9 @@ def _(w: Workspace):
 
 @exact("s_weather_report")
 def _(w: Workspace):
-    """Daily records of all files against the days that remain of them."""
-    records = tables.weather_reports(w.spark, w.sf_dir)
-    kept = weather.first_file_per_day(records)
-    return quality.s_weather_report(records, kept)
+    """Daily records as read against those that the transformation leaves."""
+    records = w.weather_daily()
+    return quality.s_weather_report(records, weather.transform_weather(weather.forward_fill(records)))
 
 
 def _audit(name: str, *arguments) -> None:
