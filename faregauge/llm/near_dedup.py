@@ -33,6 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -184,13 +185,35 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def _packed_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
+    pack = zstandard.ZstdCompressor(level=3).compress
+    packed = pa.array([pack(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
+    return pa.RecordBatch.from_arrays([batch.column(ROW), packed], [ROW, "text"])
+
+
+def _unpacked(texts: pa.Array) -> pa.Array:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([unpack(t).decode() for t in texts.to_pylist()], pa.string())
+
+
+def candidate_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(row, text) of all texts that share a bucket with another, compressed one by one.
+
+    Finding them takes the one shuffle of all texts there is, and compressed texts make it
+    about half as large. The result is stored, as both comparisons read it.
+    """
+    rows = docs.select(F.col(ROW), text_or_empty().alias("text"))
+    packed = by_batch(rows, lambda: _packed_batch, f"{ROW} long, text binary")
+    return stored(packed.join(members.select(ROW).distinct(), ROW, "left_semi"), "texts")
+
+
 def _verify_batch(rule: NearRule):
     more, parts = rule.similar
 
     def bags(rows: pa.Array, texts: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
         """Multiset per row number; a pivot that occurs in many pairs is cut up once."""
         different, place = np.unique(rows.to_numpy(), return_index=True)
-        chosen = texts.take(pa.array(place))
+        chosen = _unpacked(texts.take(pa.array(place)))
         found = {}
         for start, stop in runs(chosen):
             text, shingle, weight = shingle_bags(chosen.slice(start, stop - start), rule.words)
@@ -213,17 +236,13 @@ def _verify_batch(rule: NearRule):
     return step
 
 
-def verified(pairs: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, rule: NearRule) -> DataFrame:
     """The pairs (a, b) whose shingle multisets overlap enough; texts travel to the pairs.
 
-    Only texts that occur in a pair are shuffled. A pivot with many pairs is a skewed key of
-    a plain join, which adaptive execution splits.
+    A pivot with many pairs is a skewed key of a plain join, which adaptive execution splits.
     """
-    texts = docs.select(F.col(ROW), text_or_empty().alias("text"))
-    asked = pairs.select(F.col("b").alias(ROW)).distinct()
-    right = texts.join(asked, ROW, "left_semi").withColumnsRenamed({ROW: "b", "text": "b_text"})
-    asked = pairs.select(F.col("a").alias(ROW)).distinct()
-    left = texts.join(asked, ROW, "left_semi").withColumnsRenamed({ROW: "a", "text": "a_text"})
+    right = texts.withColumnsRenamed({ROW: "b", "text": "b_text"})
+    left = texts.withColumnsRenamed({ROW: "a", "text": "a_text"})
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "a_text", "b_text")
     return by_batch(both, lambda: _verify_batch(rule), "a long, b long")
 
@@ -241,9 +260,7 @@ def _cell_links(rule: NearRule):
     more, parts = rule.similar
 
     def bags(rows: pa.Table) -> tuple[np.ndarray, ...]:
-        texts = rows.column("text").combine_chunks()
-        if isinstance(texts, pa.ChunkedArray):
-            texts = pa.concat_arrays(texts.chunks)
+        texts = _unpacked(rows.column("text"))
         found = []
         for start, stop in runs(texts):
             text, shingle, weight = shingle_bags(texts.slice(start, stop - start), rule.words)
@@ -277,7 +294,7 @@ def _cell_links(rule: NearRule):
     return step
 
 
-def verified_in_cells(members: DataFrame, labels: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
+def verified_in_cells(members: DataFrame, labels: DataFrame, texts: DataFrame, rule: NearRule) -> DataFrame:
     """Links that the pivots' comparisons leave open, as (a, b).
 
     In each bucket, members outside the pivot's class are compared with all members of other
@@ -306,7 +323,6 @@ def verified_in_cells(members: DataFrame, labels: DataFrame, docs: DataFrame, ru
     asking = now.where("asks").withColumn("x", place("asking")).withColumn("y", every("n"))
     asked = now.withColumn("asks", F.lit(False)).withColumn("y", place("n")).withColumn("x", every("asking"))
     cells = asking.unionByName(asked).select("bucket", "x", "y", "asks", ROW, "label")
-    texts = docs.select(F.col(ROW), text_or_empty().alias("text")).join(now.select(ROW).distinct(), ROW, "left_semi")
     both = cells.join(texts, ROW)
     return both.groupBy("bucket", "x", "y").applyInArrow(_cell_links(rule), "a long, b long")
 
@@ -343,8 +359,9 @@ def classes(docs: DataFrame, rule: NearRule | None = None) -> DataFrame:
     members = stored(members.join(pivots, "bucket"), "members")
 
     pairs = stored(_compared(members, rule), "pairs")
-    labels = _relabelled(None, verified(pairs, docs, rule))
-    left_over = verified_in_cells(members, labels, docs, rule)
+    candidates = candidate_texts(docs, members)
+    labels = _relabelled(None, verified(pairs, candidates, rule))
+    left_over = verified_in_cells(members, labels, candidates, rule)
     labels = _relabelled(labels, left_over)
     roots = copies.join(labels.withColumnsRenamed({"node": "rep"}), "rep", "left")
     roots = roots.select("copy", F.coalesce("root", "rep").alias("root"))
