@@ -108,3 +108,23 @@ def test_sample_cap_keeps_the_lowest_draws(spark):
     ranked = sorted(range(1, 5001), key=lambda k: hashlib.md5(f"{k}:42".encode()).hexdigest())
     assert sorted(sample) == sorted(ranked[:300])
     assert sample_cap(rows, 5000).count() == 5000
+
+
+def test_first_rows_after_an_earlier_range_shrank(spark, make, tmp_path):
+    """A place within its range may exceed the key once ranges before it have shrunk."""
+    path = str(tmp_path / "staged")
+    make([("a", 0, 0, "x"), ("b", 0, 7, "y"), ("b", 0, 8, "z")], "m string, part_no int, row_no long, v string").write.parquet(path)
+    staged = spark.read.parquet(path)
+    offsets = keys.key_offsets(staged, ["m", "part_no"])
+    rows = keys.first_numbered(staged, offsets, ["m", "part_no"], "k", 2).collect()
+    assert sorted((r.k, r.v) for r in rows) == [(1, "x"), (2, "y")]
+
+
+def test_medians_end_on_nan_and_infinity(make):
+    nan, inf = float("nan"), float("inf")
+    cases = [[1.0, 2.0, 3.0, nan, nan, nan], [1.0, 2.0, 3.0, inf, inf, inf], [-inf, -inf, 5.0], [-1.7e308, 1.7e308, 5e-324], [nan]]
+    for case in cases:
+        numbers = sorted(x for x in case if x == x)
+        low, high = (numbers[(len(numbers) - 1) // 2], numbers[len(numbers) // 2]) if numbers else (None, None)
+        wanted = None if not numbers else (low + high) / 2
+        assert exact_medians(make([(x,) for x in case], "v double"), ["v"]) == {"v": wanted}
