@@ -33,12 +33,16 @@ _OWN = "_mix_"
 
 @dataclass(frozen=True)
 class MixRule:
-    """Powers of the tempered targets, sweeps, share of tokens to keep, seed of the draw."""
+    """Powers of the tempered targets, sweeps, share of tokens to keep, seed of the draw.
+
+    ``whole_targets`` lowers the share until no cell needs its documents more than once.
+    """
 
     powers: dict[str, float] = field(default_factory=lambda: {"source": 0.7, "lang": 0.8, "topic": 0.5})
     sweeps: int = 8
     share: float = 0.8
     seed: int = 7
+    whole_targets: bool = False
 
 
 def _words(text: Column) -> Column:
@@ -113,13 +117,19 @@ def probabilities(rows: DataFrame, rule: MixRule, targets: dict[str, DataFrame]
     """(source, lang, topic, probability) per cell of described rows.
 
     The probability is the weight per token times the share to keep, at most 1: cells that
-    would need their documents more than once are taken whole.
+    would need their documents more than once are taken whole, and what they lack is missing
+    from the targets. With ``rule.whole_targets`` the share is lowered to what the hottest
+    cell can give, so that the kept tokens meet the targets as the weights do.
     """
     cells = stored(cells_of(rows), "cells")
     targets = targets or {d: tempered(cells, d, p) for d, p in rule.powers.items()}
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(1.0))
     fitted = raked(cells, targets, rule.sweeps)
-    return fitted.select(*DIMENSIONS, F.least(ratio * F.lit(rule.share), F.lit(1.0)).alias("probability"))
+    share = rule.share
+    if rule.whole_targets:
+        hottest = fitted.where("tokens > 0").agg(F.max(F.col("weight") / F.col("tokens"))).first()[0]
+        share = min(share, 1 / hottest) if hottest else share
+    return fitted.select(*DIMENSIONS, F.least(ratio * F.lit(share), F.lit(1.0)).alias("probability"))
 
 
 def _joined(rows: DataFrame, cells: DataFrame) -> DataFrame:

@@ -73,6 +73,28 @@ def test_given_targets_are_met(make):
     assert {k: round(v, 4) for k, v in by.items()} == {"s0": 0.2, "s1": 0.5, "s2": 0.3, "en": 0.5, "de": 0.5}
 
 
+def test_kept_tokens_meet_the_targets(make):
+    rows = [(i, "w " * 10, "hot" if i % 10 else "rare", "en" if i % 3 else "de") for i in range(3000)]
+    docs = make(rows, "doc_id long, text string, source string, lang string")
+    targets = {
+        "source": make([("hot", 0.6), ("rare", 0.4)], "source string, share double"),
+        "lang": make([("en", 0.5), ("de", 0.5)], "lang string, share double"),
+    }
+
+    def shares(rule):
+        expected, drawn = defaultdict(float), defaultdict(float)
+        for r in mixing.mixed(docs, rule, targets).collect():
+            for c in (r.source, r.lang):
+                expected[c] += r.tokens * r.probability
+                drawn[c] += r.tokens * r.kept
+        return [{c: n / (m["en"] + m["de"]) for c, n in m.items()} for m in (expected, drawn)]
+
+    expected, drawn = shares(mixing.MixRule(whole_targets=True))
+    for c, goal in {"hot": 0.6, "rare": 0.4, "en": 0.5, "de": 0.5}.items():
+        assert expected[c] == pytest.approx(goal, abs=1e-3) and drawn[c] == pytest.approx(goal, abs=0.06)
+    assert shares(mixing.MixRule())[0]["rare"] < 0.3
+
+
 def test_odd_rows(make):
     rows = [(None, None, None, None), (1, "", "a", "en"), (1, "x y", None, "en"), (1, "x y", None, "en"), (2, "long " * 50_000, "", "de")]
     docs = make([(*r, 1) for r in rows], "doc_id long, text string, source string, lang string, probability int")
