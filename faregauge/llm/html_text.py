@@ -1,10 +1,10 @@
 """HTML to text by layout: a tree with implied tags, visibility rules, blocks and tables.
 
 Start and end tags build a tree; tags that HTML lets authors leave out are implied (a row
-ends the row before, a block ends an open paragraph). What a browser hides is left out:
+ends the row before, a block ends an open paragraph, what can't stand in a head ends it). What a browser hides is left out:
 heads, scripts, templates, ``hidden``, inline ``display:none`` and ``visibility:hidden``,
-and selectors by tag, class or id that the page's own style sheets hide. All other text is
-emitted: blocks on lines of their own with a blank line around paragraphs, headings, lists
+and selectors by tag, class or id that the page's own style sheets hide. All other text,
+with formulas, text in drawings and what an object falls back to, is emitted: blocks on lines of their own with a blank line around paragraphs, headings, lists
 and tables, list items with marks and indents, table cells in aligned columns,
 preformatted text as it is. Nothing is dropped as boilerplate.
 
@@ -30,7 +30,11 @@ WIDEST = 40
 
 # Fixed sets of element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head title script style template iframe object svg math canvas audio video datalist noembed noframes".split())
+HIDDEN = frozenset("head title script style template iframe canvas audio video datalist noembed noframes".split())
+# Parts of drawings and formulas that define or describe and are not drawn.
+UNDRAWN = {"svg": frozenset("defs desc metadata symbol".split()), "math": frozenset("annotation annotation-xml".split())}
+# All that may stand in a head, which any other start tag ends.
+IN_HEAD = frozenset("head base basefont bgsound link meta title script style template noscript noframes".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset details hr".split())
 BLOCKS = SPACED | frozenset(
     "html body div section article aside header footer nav main address form li dt dd tr caption thead tbody tfoot"
@@ -49,7 +53,6 @@ CLOSES = {
     "tfoot": ("thead tbody tfoot tr td th caption colgroup", "table"),
     "option": ("option", "select optgroup"),
     "optgroup": ("option optgroup", "select"),
-    "body": ("head", "html"),
 }
 CLOSES = {tag: (frozenset(a.split()), frozenset(b.split())) for tag, (a, b) in CLOSES.items()}
 _P_BOUNDS = frozenset("table td th li caption button object html body".split())
@@ -91,14 +94,24 @@ class Tree(HTMLParser):
         if at is not None:
             del self.open[at:]
 
+    def _in_head(self) -> bool:
+        """Whether a head is open, and nothing in it that may hold other tags or text."""
+        return len(self.open) > 1 and self.open[1].tag == "head" and all(n.tag in ("head", "noscript") for n in self.open[1:])
+
+    def _end_head(self) -> None:
+        del self.open[1:]
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "html":
             return
+        if tag not in IN_HEAD and self._in_head():
+            self._end_head()
         if tag in CLOSES:
             self._close(*CLOSES[tag])
         if tag in _ENDS_P:
             self._close(frozenset("p"), _P_BOUNDS)
         node = Node(tag, {k: v or "" for k, v in attrs})
+        node.hidden |= any(tag in names and any(n.tag == around for n in self.open) for around, names in UNDRAWN.items())
         self.open[-1].children.append(node)
         if tag not in VOID and len(self.open) < DEEPEST:
             self.open.append(node)
@@ -121,6 +134,8 @@ class Tree(HTMLParser):
             for selectors, body in _RULE.findall(data):
                 if _HIDES.search(body):
                     self.hides |= {s.strip() for s in selectors.split(",") if _SIMPLE.fullmatch(s.strip())}
+        elif self._in_head() and data.strip(" \t\n\r\f"):
+            self._end_head()
         self.open[-1].children.append(data)
 
 

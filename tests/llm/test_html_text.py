@@ -25,6 +25,21 @@ def test_hidden_text_is_left_out():
     assert page_text(page) == "8 9"
 
 
+def test_heads_without_an_end():
+    assert page_text("<head><title>T</title><p>text") == "text"
+    assert page_text("<html><head><meta charset=x><title>T</title>plain <b>text</b>") == "plain text"
+    assert page_text("<head>\n<style>.x{display:none}</style>\n<script>s</script><div class=x>1</div>2") == "2"
+    assert page_text("<head><noscript><link rel=x></noscript><title>T</title><ul><li>a") == "- a"
+    assert page_text("<head><title>T</title></head><p>text") == page_text("<head><title>T</title><body><p>text") == "text"
+    assert page_text("<header>shown</header>") == "shown"
+
+
+def test_drawings_formulas_and_fallbacks_are_shown():
+    assert page_text("<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> b") == "a x=1 b"
+    assert page_text("<svg><title>no</title><defs><text>no</text></defs><text>yes</text></svg>") == "yes"
+    assert page_text("<object data=x><p>instead</p></object>") == "instead"
+
+
 def test_broken_and_odd_pages():
     assert page_text(None) == page_text("") == page_text("<p></p><script>x") == ""
     assert page_text("a </b> b < c &amp; &lt;d&gt; &nbsp;e") == "a b < c & <d>  e"
