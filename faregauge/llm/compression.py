@@ -2,48 +2,86 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faregauge.llm.common import in_class
+from faregauge.llm.common import by_batch, in_class, stored
 
 
 @dataclass(frozen=True)
 class SampleBounds:
-    """How much labelled text a fit may take: documents per class and characters of each.
+    """How many labelled documents per class a fit takes, and windows per dictionary.
 
-    These bound the driver's work at any size of the corpus. Documents are drawn by a hash
-    of their id, so the sample is the same on every cluster.
+    Texts are taken whole, and only windows, counts and feature vectors reach the driver.
+    Documents are drawn by a hash of their id, so the sample is the same on every cluster.
     """
 
     per_class: int = 2500
-    chars: int = 6000
+    dictionary_windows: int = 40_000
     seed: int = 17
 
 
 @dataclass(frozen=True)
 class Sample:
-    """Texts and labels in random order, and what one text of each class stands for."""
+    """Stored rows of (doc_id, text, label, calibrates, weight), with whole texts.
 
-    texts: list[str]
-    labels: np.ndarray
-    weights: np.ndarray
+    Two thirds are for dictionaries, the third that these don't see for calibration.
+    """
+
+    rows: DataFrame
+    bounds: SampleBounds
+
+    def learning(self, label: int) -> DataFrame:
+        return self.rows.where(~F.col("calibrates") & (F.col("label") == label)).select("doc_id", "text")
+
+    def windows(self, label: int, cut: Callable[[str], list[bytes]]) -> list[bytes]:
+        """Windows from all over the texts of a class, drawn by a hash if they are too many."""
+
+        def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"n": [sum(len(cut(t)) for t in batch.column("text").to_pylist())]})
 
-    def parts(self) -> tuple[Sample, Sample]:
-        """Two thirds for dictionaries and the third that they don't see."""
-        return self._chosen({0, 1}), self._chosen({2})
+        rows = self.learning(label)
+        total = by_batch(rows, lambda: counted, "n long").agg(F.sum("n")).first()[0] or 0
+        every = 1 + total // self.bounds.dictionary_windows
 
-    def _chosen(self, remainders: set[int]) -> Sample:
-        chosen = [i for i in range(len(self.texts)) if i % 3 in remainders]
-        return Sample([self.texts[i] for i in chosen], self.labels[chosen], self.weights[chosen])
+        def drawn(batch: pa.RecordBatch) -> pa.RecordBatch:
+            made = [
+                (number, i, window)
+                for number, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
+                for i, window in enumerate(cut(text))
+                if zlib.crc32(f"{number}|{i}".encode()) % every == 0
+            ]
+            numbers, places, found = zip(*made, strict=True) if made else ((), (), ())
+            columns = [pa.array(numbers, pa.int64()), pa.array(places, pa.int64()), pa.array(found, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "i", "window"])
 
-    def of(self, label: int) -> list[str]:
-        return [t for t, y in zip(self.texts, self.labels, strict=True) if y == label]
+        found = by_batch(rows, lambda: drawn, "doc_id long, i long, window binary").collect()
+        return [bytes(r["window"]) for r in sorted(found, key=lambda r: (r["doc_id"], r["i"], bytes(r["window"])))]
+
+    def features(
+        self, make: Callable[[], Callable[[str], np.ndarray]], width: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Features, labels and weights of the calibrating texts, computed in tasks."""
+
+        def step(of_text: Callable[[str], np.ndarray], batch: pa.RecordBatch) -> pa.RecordBatch:
+            made = [[float(v) for v in of_text(t)] for t in batch.column("text").to_pylist()]
+            columns = [batch.column(c) for c in ("doc_id", "label", "weight")]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(made, pa.list_(pa.float64()))], ["doc_id", "label", "weight", "x"])
+
+        rows = self.rows.where("calibrates").select("doc_id", "text", "label", "weight")
+        schema = "doc_id long, label int, weight double, x array<double>"
+        found = by_batch(rows, lambda: partial(step, make()), schema).collect()
+        found.sort(key=lambda r: (r["doc_id"], r["label"], r["x"]))
+        x = np.array([r["x"] for r in found], float).reshape(len(found), width)
+        return x, np.array([r["label"] for r in found], int), np.array([r["weight"] for r in found], float)
 
 
 def labelled_sample(
@@ -52,9 +90,9 @@ def labelled_sample(
     """A bounded sample of each class, without the held-out remainder of crc32(doc_id).
 
     Rows with a null id, text or label teach nothing. A document with several labels
-    counts once for each. ``weights`` make the classes as frequent as among all labels.
+    counts once for each. ``weight`` makes the classes as frequent as among all labels.
     """
-    known = labels.select("doc_id", F.col(label).alias("label")).where(~in_class(*held_out) & F.col("label").isin(0, 1))
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(~in_class(*held_out) & F.col("label").isin(0, 1))
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     drawn = None
     for value in (0, 1):
@@ -62,16 +100,12 @@ def labelled_sample(
         part = known.where(F.col("label") == value).orderBy(order, "doc_id").limit(bounds.per_class)
         drawn = part if drawn is None else drawn.unionByName(part)
     # At most two classes of a bounded number of rows: a broadcast of proven size.
-    texts = docs.select("doc_id", F.substring("text", 1, bounds.chars).alias("text")).where("text IS NOT NULL")
-    rows = texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "label").collect()
-    rows.sort(key=lambda r: (hash_order(r["doc_id"], bounds.seed), r["text"], r["label"]))
-    y = np.array([r["label"] for r in rows], int)
-    share = {v: counts.get(v, 0) / max(1, int((y == v).sum())) for v in (0, 1)}
-    return Sample([r["text"] for r in rows], y, np.array([share[v] for v in y], float))
-
-
-def hash_order(number: int, seed: int) -> int:
-    return (number * 0x9E3779B97F4A7C15 + seed * 0xBF58476D1CE4E5B9) >> 7 & 0xFFFFFFFFFFFF
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
+    calibrates = F.pmod(F.xxhash64("doc_id", F.lit(bounds.seed + 1)), F.lit(3)) == 2
+    rows = stored(texts.join(F.broadcast(drawn), "doc_id").withColumn("calibrates", calibrates), "labelled")
+    taken = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    share = {v: counts.get(v, 0) / max(1, taken.get(v, 0)) for v in (0, 1)}
+    return Sample(rows.withColumn("weight", F.when(F.col("label") == 1, share[1]).otherwise(F.lit(share[0]))), bounds)
 
 
 def trained_content(samples: list[bytes], size: int) -> bytes:

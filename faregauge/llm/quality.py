@@ -95,14 +95,8 @@ class QualityModel:
 
 def fit(sample: Sample) -> QualityModel:
     """Dictionaries from two thirds of the sample, calibration from the other."""
-    train, rest = sample.parts()
-    contents = []
-    for label in (1, 0):
-        cut = [w for t in train.of(label) for w in windows(t)]
-        contents.append(trained_content(cut[:: 1 + len(cut) // 40_000], DICTIONARY))
-    features = _Features(*contents)
-    found = np.array([features(t) for t in rest.texts]).reshape(len(rest.texts), FEATURES)
-    return QualityModel(*contents, calibrated(found, rest.labels, rest.weights))
+    contents = [trained_content(sample.windows(label, windows), DICTIONARY) for label in (1, 0)]
+    return QualityModel(*contents, calibrated(*sample.features(lambda: _Features(*contents), FEATURES)))
 
 
 def trained(docs: DataFrame, labels: DataFrame, bounds: SampleBounds | None = None) -> QualityModel:

@@ -21,8 +21,8 @@ further columns are kept by ``without_toxic`` and ignored by ``toxicity``.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from collections import Counter, defaultdict
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -43,7 +43,7 @@ _WORD = re.compile(r"\w+")
 
 @dataclass(frozen=True)
 class ToxicityRule:
-    """Words per window, lengths of word beginnings, and how telling these must be."""
+    """Words per window, lengths of word beginnings, how telling these must be, ordinary words compared."""
 
     window: int = 1
     shortest: int = 4
@@ -53,6 +53,7 @@ class ToxicityRule:
     ratio: float = 12.0
     steps: tuple[int, ...] = (2, 3, 4, 5, 6, 7, 8, 9)
     least_match: int = 6
+    frequent: int = 20_000
 
 
 class _Wide(dict):
@@ -80,26 +81,41 @@ def windows(text: str, size: int) -> list[str]:
     return words if size == 1 else [" ".join(words[i : i + size]) for i in range(0, len(words), size)]
 
 
-def telling_segments(toxic: list[str], ordinary: list[str], rule: ToxicityRule) -> list[str]:
+def _beginnings(word: str, rule: ToxicityRule) -> set[str]:
+    lengths = {*range(rule.shortest, min(len(word), rule.longest) + 1), len(word)}
+    return {word[:k] for k in lengths if k >= rule.shortest}
+
+
+def _counted(texts: DataFrame, of_text: Callable[[str], Iterator[str]]) -> DataFrame:
+    """(word, n) over all texts, summed per batch first."""
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sums = Counter(w for t in batch.column("text").to_pylist() for w in of_text(t))
+        return pa.RecordBatch.from_arrays([pa.array([*sums], pa.string()), pa.array([*sums.values()], pa.int64())], ["word", "n"])
+
+    return by_batch(texts, lambda: step, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def telling_segments(toxic: DataFrame, ordinary: DataFrame, rule: ToxicityRule) -> list[str]:
     """Word beginnings with many different contexts in toxic texts and few in ordinary ones."""
-    least = max(rule.least_contexts, int(rule.context_share * len(toxic)))
-    contexts: dict[str, set[str]] = defaultdict(set)
-    for text in toxic:
-        before = ""
-        for word in words_of(text):
-            for k in {*range(rule.shortest, min(len(word), rule.longest) + 1), len(word)}:
-                if k >= rule.shortest and len(held := contexts[word[:k]]) < 50 * least:
-                    held.add(before)
-            before = word
-    seen = {g: len(c) for g, c in contexts.items() if len(c) >= least}
-    del contexts
-    plain: Counter[str] = Counter()
-    for text in ordinary:
-        for word in words_of(text):
-            for k in {*range(rule.shortest, min(len(word), rule.longest) + 1), len(word)}:
-                if word[:k] in seen:
-                    plain[word[:k]] += 1
-    share = len(ordinary) / max(1, len(toxic))
+
+    def contexts(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pairs = set()
+        for text in batch.column("text").to_pylist():
+            words = words_of(text)
+            for before, word in zip(["", *words], words, strict=False):
+                pairs |= {(g, before) for g in _beginnings(word, rule)}
+        segments, before = zip(*pairs, strict=True) if pairs else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(segments, pa.string()), pa.array(before, pa.string())], ["word", "before"])
+
+    n_toxic = toxic.count()
+    least = max(rule.least_contexts, int(rule.context_share * n_toxic))
+    pairs = by_batch(toxic, lambda: contexts, "word string, before string").distinct()
+    often = pairs.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    seen = {r["word"]: r["n"] for r in often.collect()}
+    found = _counted(ordinary, lambda t: (g for w in words_of(t) for g in _beginnings(w, rule) if g in seen))
+    plain = Counter({r["word"]: r["n"] for r in found.collect()})
+    share = ordinary.count() / max(1, n_toxic)
     good = {g for g, n in seen.items() if n * share > rule.ratio * (plain[g] + 0.5)}
     # The longest form that keeps half of the contexts, and none that extends a kept one.
     top = {g for g in good if not any(h != g and h.startswith(g) and seen[h] >= 0.5 * seen[g] for h in good)}
@@ -107,11 +123,12 @@ def telling_segments(toxic: list[str], ordinary: list[str], rule: ToxicityRule)
     return sorted(kept, key=lambda g: (seen[g], g))
 
 
-def nearest_ordinary(segments: list[str], ordinary: list[str]) -> list[str]:
+def nearest_ordinary(segments: list[str], ordinary: DataFrame, rule: ToxicityRule) -> list[str]:
     """Ordinary words that share the most with the segments: their start, then their inside."""
-    common = Counter(w for text in ordinary for w in words_of(text))
+    counts = _counted(ordinary, words_of).orderBy(F.desc("n"), "word").limit(rule.frequent)
+    common = {r["word"]: r["n"] for r in counts.collect()}
     starting = tuple(segments)
-    frequent = [w for w, _ in common.most_common(20_000) if not w.startswith(starting)]
+    frequent = [w for w in common if not w.startswith(starting)]
     near = []
     for segment in segments:
         starts: Counter[str] = Counter()
@@ -173,14 +190,12 @@ class _Features:
 def fit(sample: Sample, rule: ToxicityRule | None = None) -> ToxicityModel:
     """Dictionaries from two thirds of the sample, calibration from the other."""
     rule = rule or ToxicityRule()
-    train, rest = sample.parts()
-    segments = telling_segments(train.of(1), train.of(0), rule)
-    near = nearest_ordinary(segments, train.of(0)[:1000])
+    segments = telling_segments(sample.learning(1), sample.learning(0), rule)
+    near = nearest_ordinary(segments, sample.learning(0), rule)
     ordinary = wide(" " + " ".join(near) + " ")
     toxic = ordinary + wide(" " + " ".join(segments))
-    features = _Features(ordinary, toxic, rule)
-    found = np.array([features(t) for t in rest.texts]).reshape(len(rest.texts), 2 + 2 * len(rule.steps))
-    return ToxicityModel(ordinary, toxic, rule, calibrated(found, rest.labels, rest.weights))
+    found = sample.features(lambda: _Features(ordinary, toxic, rule), 2 + 2 * len(rule.steps))
+    return ToxicityModel(ordinary, toxic, rule, calibrated(*found))
 
 
 def trained(docs: DataFrame, labels: DataFrame, bounds: SampleBounds | None = None) -> ToxicityModel:

@@ -36,3 +36,14 @@ def test_odd_rows(make):
     assert quality.quality(docs.limit(0), quality.trained(docs, labels)).collect() == []
     even = quality.trained(docs, labels.limit(0))
     assert {r.score for r in quality.quality(docs, even).collect()} == {0.5}
+
+
+def test_what_lies_far_in_long_texts_is_learned(make):
+    start = " ".join(f"w{i % 97}" for i in range(2000))
+    words = "one two three four five six seven eight nine ten".split()
+    texts = [(i, f"{start} {words[i % 10]} " + ("mugglefly " if i % 2 else "harmless ") * (1 + i % 3) + words[i // 10 % 10]) for i in range(160)]
+    docs = make(texts, "doc_id long, text string")
+    labels = make([(i, i % 2) for i, _ in texts], "doc_id long, quality int")
+    assert min(len(t) for _, t in texts) > 6000
+    got = {r.doc_id: r.predicted for r in quality.quality(docs, quality.trained(docs, labels)).collect()}
+    assert sum(got[i] == i % 2 for i in got) > 0.95 * len(texts)
