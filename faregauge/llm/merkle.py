@@ -2,7 +2,8 @@
 
 A line is a paragraph, eight paragraphs are a section. A paragraph's hash covers its whole
 line, a section's hash its paragraphs' hashes, the root the sections' hashes, so roots are
-equal exactly for equal texts. Below the paragraphs the fingerprint lists short hashes of
+equal exactly for equal texts (all these hashes have 128 bits; below the root 48 of them are
+printed). Below the paragraphs the fingerprint lists 32-bit hashes of
 pieces, runs of up to three words that end with a sentence; they tell how alike two texts
 are whose branches differ, and ``differing_paragraphs`` follows differing branches down.
 
@@ -29,7 +30,9 @@ SECTION = 8
 ROW = "_merkle_row"
 # Up to three words of a line, none after one that ends a sentence.
 PIECE = r"(?:[^\s]*[^\s.!?][ \t]+){0,2}[^\s]+"
-_PIECE_BITS = 0xFFFFFF
+# Hex digits of a hash in the tree, and of a paragraph's or section's as printed below the root.
+WIDTH = 32
+PRINTED = 12
 
 
 def _short(value: Column, digits: int) -> Column:
@@ -38,13 +41,13 @@ def _short(value: Column, digits: int) -> Column:
 
 def _pieces(paragraph: Column) -> Column:
     found = F.regexp_extract_all(paragraph, F.lit(PIECE), F.lit(0))
-    return F.transform(found, lambda p: F.xxhash64(p).bitwiseAND(F.lit(_PIECE_BITS)).cast("int"))
+    return F.transform(found, lambda p: F.shiftright(F.xxhash64(p), 32).cast("int"))
 
 
 def tree(text: Column) -> Column:
     """Paragraphs of a text as (hash, pieces), in order."""
     return F.transform(
-        F.split(text, "\n"), lambda p: F.struct(_short(p, 12).alias("hash"), _pieces(p).alias("pieces"))
+        F.split(text, "\n"), lambda p: F.struct(_short(p, WIDTH).alias("hash"), _pieces(p).alias("pieces"))
     )
 
 
@@ -54,13 +57,13 @@ def _sections(paragraphs: Column) -> Column:
 
 
 def _section_hash(section: Column) -> Column:
-    return _short(F.array_join(F.transform(section, lambda p: p["hash"]), ","), 12)
+    return _short(F.array_join(F.transform(section, lambda p: p["hash"]), ","), WIDTH)
 
 
 def root(paragraphs: Column) -> Column:
     """Hash over the section hashes; the number of paragraphs goes in as well."""
     sections = F.transform(_sections(paragraphs), _section_hash)
-    return _short(F.concat_ws(",", F.size(paragraphs).cast("string"), F.array_join(sections, ",")), 32)
+    return _short(F.concat_ws(",", F.size(paragraphs).cast("string"), F.array_join(sections, ",")), WIDTH)
 
 
 def pieces(paragraphs: Column) -> Column:
@@ -72,11 +75,11 @@ def fingerprint(paragraphs: Column) -> Column:
     """The whole tree as text, from the root down."""
 
     def of_paragraph(p: Column) -> Column:
-        marks = F.array_join(F.transform(p["pieces"], lambda x: F.lower(F.lpad(F.hex(x), 6, "0"))), "")
-        return F.concat(p["hash"], F.lit("("), marks, F.lit(")"))
+        marks = F.array_join(F.transform(p["pieces"], lambda x: F.lower(F.substring(F.lpad(F.hex(x), 16, "0"), 9, 8))), "")
+        return F.concat(F.substring(p["hash"], 1, PRINTED), F.lit("("), marks, F.lit(")"))
 
     def of_section(section: Column) -> Column:
-        return F.concat(_section_hash(section), F.lit("="), F.array_join(F.transform(section, of_paragraph), ","))
+        return F.concat(F.substring(_section_hash(section), 1, PRINTED), F.lit("="), F.array_join(F.transform(section, of_paragraph), ","))
 
     return F.concat(root(paragraphs), F.lit(":"), F.array_join(F.transform(_sections(paragraphs), of_section), ";"))
 

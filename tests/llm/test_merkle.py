@@ -60,6 +60,21 @@ def test_branches_locate_edits(make):
     assert found.d == [3, 29, 40]
 
 
+def test_hashes_of_the_tree_have_full_width(make):
+    lines = [f"line {i} of a text." for i in range(9)]
+    docs = make([("\n".join(lines),)], "text string")
+    tree = merkle.tree(F.col("text"))
+    got = docs.select(tree.alias("t"), merkle.fingerprint(tree).alias("f")).first()
+    wide = [hashlib.sha256(x.encode()).hexdigest()[:32] for x in lines]
+    assert [p["hash"] for p in got.t] == wide
+    sections = [hashlib.sha256(",".join(part).encode()).hexdigest()[:32] for part in (wide[:8], wide[8:])]
+    root = hashlib.sha256(",".join(["9", *sections]).encode()).hexdigest()[:32]
+    assert got.f.startswith(root + ":" + sections[0][:12] + "=" + wide[0][:12] + "(")
+    many = make([(" ".join(f"a{i}b{i}c." for i in range(100_000)),)], "text string")
+    distinct = many.select(F.size(F.array_distinct(merkle.pieces(merkle.tree(F.col("text"))))).alias("n")).first().n
+    assert distinct > 99_990
+
+
 def test_no_python_and_one_shuffle_of_texts(spark):
     plan = merkle.fingerprints(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
