@@ -1,13 +1,15 @@
 """Toxicity by compression distance: windows under a toxic and an ordinary dictionary.
 
-Both dictionaries are trained on labelled texts. The toxic one holds the word beginnings
+Two zstandard dictionaries are trained on windows of toxic and of ordinary labelled texts;
+the differences of a window's compressed sizes find phrases of ordinary words and terms inside
+scripts without spaces. Two more dictionaries are of words. The toxic one holds the word beginnings
 that toxic texts use in many different contexts and ordinary texts don't; contexts are
 counted, not texts, so copies of one toxic text don't vouch for its own vocabulary. The
 ordinary one holds the ordinary words nearest to those, so a window that merely resembles a
 toxic word is matched as well by either. The toxic dictionary has these too: what is left
 of the size difference is what only toxic text explains.
 
-A window is a run of words (one, by default: the sharpest contrast), written with two scattered bytes per character: a character that
+A window of these is a run of words (one, by default: the sharpest contrast), written with two scattered bytes per character: a character that
 no dictionary matches then costs two bytes and a match saves more than it costs. The
 numbers of windows above several size differences, their shares and the largest difference
 are calibrated on labelled texts that the dictionaries haven't seen.
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faregauge.llm.common import by_batch, in_class, prepare, text_or_empty
-from faregauge.llm.compression import Calibration, Sample, SampleBounds, calibrated, labelled_sample, sizer
+from faregauge.llm.compression import Calibration, Sample, SampleBounds, calibrated, labelled_sample, sizer, trained_content
 
 HELD_OUT = (0, 5)
 # Windows whose size difference a worker remembers.
@@ -43,7 +45,11 @@ _WORD = re.compile(r"\w+")
 
 @dataclass(frozen=True)
 class ToxicityRule:
-    """Words per window, lengths of word beginnings, how telling these must be, ordinary words compared."""
+    """Words per window, lengths of word beginnings, how telling these must be, ordinary words compared.
+
+    ``text_*`` and ``dictionary`` are bytes per window of text and of each trained dictionary,
+    least match, and the size differences from which windows are counted.
+    """
 
     window: int = 1
     shortest: int = 4
@@ -54,6 +60,14 @@ class ToxicityRule:
     steps: tuple[int, ...] = (2, 3, 4, 5, 6, 7, 8, 9)
     least_match: int = 6
     frequent: int = 20_000
+    text_window: int = 48
+    dictionary: int = 16 << 10
+    text_match: int = 3
+    text_steps: tuple[int, ...] = (2, 4, 6, 8, 12)
+
+    @property
+    def width(self) -> int:
+        return 2 + 2 * len(self.steps) + 6 + len(self.text_steps)
 
 
 class _Wide(dict):
@@ -81,6 +95,13 @@ def windows(text: str, size: int) -> list[str]:
     return words if size == 1 else [" ".join(words[i : i + size]) for i in range(0, len(words), size)]
 
 
+def text_windows(text: str, size: int) -> list[bytes]:
+    """The whole text in windows of ``size`` bytes; a short rest joins the last one."""
+    content = text.lower().encode()
+    starts = list(range(0, max(len(content) - size // 2, 1), size)) if content else []
+    return [content[a:b] for a, b in zip(starts, [*starts[1:], len(content)], strict=True)] if starts else []
+
+
 def _beginnings(word: str, rule: ToxicityRule) -> set[str]:
     lengths = {*range(rule.shortest, min(len(word), rule.longest) + 1), len(word)}
     return {word[:k] for k in lengths if k >= rule.shortest}
@@ -149,15 +170,17 @@ def nearest_ordinary(segments: list[str], ordinary: DataFrame, rule: ToxicityRul
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Contents of the two dictionaries, the rule and the calibration; a few kilobytes."""
+    """Contents of the dictionaries, the rule and the calibration; some tens of kilobytes."""
 
     ordinary: bytes
     toxic: bytes
+    ordinary_text: bytes
+    toxic_text: bytes
     rule: ToxicityRule
     calibration: Calibration
 
     def features(self) -> _Features:
-        return _Features(self.ordinary, self.toxic, self.rule)
+        return _Features(self.ordinary, self.toxic, self.ordinary_text, self.toxic_text, self.rule)
 
 
 class _Gains(dict):
@@ -176,15 +199,21 @@ class _Gains(dict):
 
 
 class _Features:
-    def __init__(self, ordinary: bytes, toxic: bytes, rule: ToxicityRule):
+    def __init__(self, ordinary: bytes, toxic: bytes, ordinary_text: bytes, toxic_text: bytes, rule: ToxicityRule):
         self._rule = rule
         self._gains = _Gains(ordinary, toxic, rule.least_match)
+        self._sizers = [sizer(c, rule.text_match) for c in (ordinary_text, toxic_text)]
 
     def __call__(self, text: str) -> list[float]:
         gains = np.array([self._gains[w] for w in windows(text, self._rule.window)] or [0])
         above = [(gains >= s).sum() for s in self._rule.steps]
         shares = [np.sqrt(a / len(gains)) for a in above]
-        return [min(gains.max(), 30), np.log1p(len(gains)), *np.log1p(above), *shares]
+        of_words = [min(gains.max(), 30), np.log1p(len(gains)), *np.log1p(above), *shares]
+        plain, toxic = self._sizers
+        away = np.array([plain(w) - toxic(w) for w in text_windows(text, self._rule.text_window)] or [0])
+        counts = [np.log1p((away >= s).sum()) for s in self._rule.text_steps]
+        spread = [np.quantile(away, q) for q in (0.25, 0.5, 0.75, 0.9)]
+        return [*of_words, min(away.max(), 60), away.mean(), *spread, *counts]
 
 
 def fit(sample: Sample, rule: ToxicityRule | None = None) -> ToxicityModel:
@@ -194,8 +223,10 @@ def fit(sample: Sample, rule: ToxicityRule | None = None) -> ToxicityModel:
     near = nearest_ordinary(segments, sample.learning(0), rule)
     ordinary = wide(" " + " ".join(near) + " ")
     toxic = ordinary + wide(" " + " ".join(segments))
-    found = sample.features(lambda: _Features(ordinary, toxic, rule), 2 + 2 * len(rule.steps))
-    return ToxicityModel(ordinary, toxic, rule, calibrated(*found))
+    cut = partial(text_windows, size=rule.text_window)
+    texts = [trained_content(sample.windows(label, cut), rule.dictionary) for label in (0, 1)]
+    found = sample.features(lambda: _Features(ordinary, toxic, *texts, rule), rule.width)
+    return ToxicityModel(ordinary, toxic, *texts, rule, calibrated(*found))
 
 
 def trained(docs: DataFrame, labels: DataFrame, bounds: SampleBounds | None = None) -> ToxicityModel:

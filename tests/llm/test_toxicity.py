@@ -50,3 +50,25 @@ def test_what_lies_far_in_long_texts_is_learned(make):
     assert min(len(t) for _, t in texts) > 6000
     got = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, toxicity.trained(docs, labels)).collect()}
     assert sum(got[i] == i % 2 for i in got) > 0.95 * len(texts)
+
+
+def test_phrases_and_unspaced_terms(make):
+    rng = np.random.default_rng(3)
+    parts = "ba de fi go hu ka le mi no pu ra se ti vo zu".split()
+    words = list(rng.permutation([a + b + c for a in parts for b in parts for c in ("", "n", "rt")][:400]))
+    signs = [chr(0x4E00 + i) for i in range(300)]
+    for telling, harmless, glue, pool in (
+        (" ".join(words[:5]), " ".join(words[4::-1]), " ", words),
+        ("".join(signs[7:11]), "".join(signs[20:24]), "", signs),
+    ):
+        rows = []
+        for i in range(300):
+            text = list(rng.choice(pool, 40))
+            for _ in range(2):
+                text.insert(int(rng.integers(40)), telling if i % 2 else harmless)
+            rows.append((i, glue.join(text)))
+        docs = make(rows, "doc_id long, text string")
+        labels = make([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+        got = {r.doc_id: r for r in toxicity.toxicity(docs, toxicity.trained(docs, labels)).collect()}
+        held = [r for r in got.values() if r.held_out]
+        assert sum(r.predicted == r.doc_id % 2 for r in held) > 0.85 * len(held), telling
