@@ -94,5 +94,106 @@ FROM rows r JOIN (
 ) USING (source, lang, topic)"""
 
 
+def crc32_sql(number: str) -> str:
+    """Unsigned crc32 of a number's decimal digits, bit by bit; 0 for null."""
+    return f"""coalesce(xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    string_split({number}::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295), 0)"""
+
+
+def _climb(name: str, levels: int) -> list[str]:
+    """Blocks that take nodes ``{name}0`` (tree, pos, h, n) and walks ``{name}walk0``
+    (r, tree, pos, cur, proof) up to the roots of trees of at most 8 ** levels nodes."""
+    blocks = []
+    for k in range(levels):
+        run = "PARTITION BY tree, pos // 8 ORDER BY pos ROWS BETWEEN"
+        blocks.append(f"""{name}sib{k} AS MATERIALIZED (
+  SELECT tree, pos, n, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS g FROM {name}{k}
+)""")
+        blocks.append(f"""{name}{k + 1} AS MATERIALIZED (
+  SELECT tree, pos // 8 AS pos, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE min(h) END AS h,
+    (n + 7) // 8 AS n FROM {name}{k} GROUP BY tree, pos // 8, n
+)""")
+        blocks.append(f"""{name}walk{k + 1} AS MATERIALIZED (
+  SELECT r, tree, w.pos // 8 AS pos, CASE WHEN n > 1 THEN sha256(l || cur || g) ELSE cur END AS cur, proof || l || g AS proof
+  FROM {name}walk{k} w JOIN {name}sib{k} s USING (tree, pos)
+)""")
+    return blocks
+
+
+def manifest_sql(levels: int = 8, lang_levels: int = 3) -> str:
+    """Leaves, trees per language and the tree above them, a query block per level."""
+
+    def leaf(text: str) -> str:
+        values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    blocks = [
+        f"""docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS tree, {leaf("text")} AS leaf,
+    CASE WHEN {crc32_sql("doc_id")} % 3 = 0 THEN {leaf(f"translate(text, '{upper}', '{lower}')")} END AS changed FROM documents
+)""",
+        """rows AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS n FROM docs
+)""",
+        "d0 AS (SELECT tree, pos, leaf AS h, n FROM rows)",
+        "dwalk0 AS (SELECT r, tree, pos, coalesce(changed, leaf) AS cur, '' AS proof FROM rows)",
+        *_climb("d", levels),
+        f"""subroots AS MATERIALIZED (
+  SELECT tree AS name, h, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM d{levels}
+)""",
+        "l0 AS (SELECT '' AS tree, place AS pos, h, n FROM subroots)",
+        f"lwalk0 AS (SELECT r, '' AS tree, place AS pos, cur, proof FROM dwalk{levels} w JOIN subroots s ON w.tree = s.name)",
+        *_climb("l", lang_levels),
+    ]
+    return f"""WITH {", ".join(blocks)}
+SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = t.h AS verified
+FROM rows JOIN subroots s ON rows.tree = s.name JOIN lwalk{lang_levels} USING (r) CROSS JOIN l{lang_levels} t"""
+
+
+def trie_sql() -> str:
+    return rf"""
+WITH told AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), marked AS (
+  SELECT conv_id, turn, sha256(strlen(role) || ':' || role || text) AS mark,
+    len(regexp_extract_all(text, '[^ 	-]+')) AS words FROM told
+), placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, mark) AS i FROM marked
+), convs AS MATERIALIZED (
+  SELECT conv_id AS c, conv_id - conv_id % 20 AS base, {crc32_sql("conv_id")} % 4 AS h FROM placed GROUP BY conv_id
+), parts AS (
+  SELECT c, 0 AS part, i, mark, words FROM convs JOIN placed ON conv_id = base AND i <= h
+  UNION ALL SELECT c, 1, i, mark, words FROM convs JOIN placed ON conv_id = c AND i > h
+), rebuilt AS MATERIALIZED (
+  SELECT c, mark, words, row_number() OVER (PARTITION BY c ORDER BY part, i) AS d FROM parts
+), steps AS MATERIALIZED (
+  SELECT c, d, words, sha256(string_agg(mark, '') OVER (PARTITION BY c ORDER BY d)) AS k FROM rebuilt
+  UNION ALL SELECT c, 0, 0, 'root' FROM convs
+), linked AS MATERIALIZED (
+  SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS up, d = max(d) OVER (PARTITION BY c) AS last FROM steps
+), nodes AS MATERIALIZED (
+  SELECT d, k, any_value(up) AS up, count(*) AS n_convs, min(c) AS conv_id, max(words) AS words,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '') AS ends FROM linked GROUP BY d, k
+), kin AS MATERIALIZED (
+  SELECT n.*, p.conv_id AS parent_conv_id, coalesce(m, 0) AS n_children FROM nodes n
+  LEFT JOIN nodes p ON p.d = n.d - 1 AND p.k = n.up
+  LEFT JOIN (SELECT d - 1 AS d, up AS k, count(*) AS m FROM nodes WHERE d > 0 GROUP BY ALL) kids ON kids.d = n.d AND kids.k = n.k
+), totals AS (
+  SELECT s.d, s.k, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * kin.words)::BIGINT AS saved_tokens
+  FROM kin JOIN steps s ON s.c = kin.conv_id AND s.d <= kin.d GROUP BY s.d, s.k
+)
+SELECT conv_id, d::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ends) AS ends_sha256
+FROM kin JOIN totals USING (d, k)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing_sql(), "op7_host_rules": OP7}
+    return {
+        "op1_mixing": mixing_sql(),
+        "op7_host_rules": OP7,
+        "op11_manifest": manifest_sql(),
+        "op13_prefix_trie": trie_sql(),
+    }

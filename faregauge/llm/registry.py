@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregauge.llm import bpe, host_rules, html_text, merkle, mixing, near_dedup, pii, quality, token_files, toxicity
+from faregauge.llm import bpe, host_rules, html_text, manifest, merkle, mixing, near_dedup, pii, prefix_trie, quality
+from faregauge.llm import sharding, token_files, toxicity
 from faregauge.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,5 +70,20 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root, proof and check of every document."""
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents dealt into eight shards of equal counts, written and read back."""
+    return sharding.shard_digests(sharding.sharded(table(spark, sf_dir, "documents")))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {name: call for name, call in globals().items() if name.startswith("op") and name[2].isdigit()}

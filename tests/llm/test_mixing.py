@@ -108,7 +108,7 @@ def test_sql_twins(spark, name):
     from compare import differences
 
     connection = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "pages", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     result = registry.queries()[name](spark, SF).toArrow()
     assert differences(result, connection.execute(oracle.oracle_sql()[name]).to_arrow_table()) is None
