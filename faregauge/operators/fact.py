@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faregauge.functions import calendar, labels
-from faregauge.operators import keys
+from faregauge.functions import labels
 from faregauge.operators.filters import MONTH_PARTITION, has_zones
+from faregauge.operators.ranges import RANGE_ROWS, counted_ranges
 from faregauge.settings import NO_WEATHER, NO_WEATHER_KEY, UNKNOWN
 
 # Total order of cleaned trips: equal rows under it are equal in every column of the fact,
@@ -83,7 +83,7 @@ def build_fact(
 ) -> DataFrame:
     """Trips with both zones, joined to all dimensions. ``keep`` passes columns through.
 
-    All columns of the fact but its key and load time, which storing it adds.
+    All columns of the fact but its key and load time, which reading it adds.
 
     The dimensions are stored tables, so their file sizes decide about the
     broadcast: as long as they are below ``spark.sql.autoBroadcastJoinThreshold``
@@ -142,24 +142,27 @@ def build_fact(
     )
 
 
-def write_fact(
+def ordered_fact(
     cleaned: DataFrame,
     times: DataFrame,
     locations: DataFrame,
     weather: DataFrame,
-    path: str,
-    touched_only: bool = False,
-) -> None:
-    """Store the fact in trip order by pickup month, with the place of every row.
-
-    Cleaned trips are cut to the columns of the fact, dealt and sorted before the joins:
-    the sample of the ranges reads no join, and broadcast joins keep the order.
+    scratch: str,
+    range_rows: int = RANGE_ROWS,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Fact rows in trip order with month, range and place, and the offsets of their ranges.
+
+    Cleaned trips are cut to the columns of the fact, dealt to counted ranges and sorted
+    before the joins: trips move once, and broadcast joins keep the order. The offsets are
+    None when single minutes had to be cut; then written ranges are counted.
     """
-    narrow = by_month(has_zones(cleaned)).select(*_TRIP_COLUMNS, MONTH_PARTITION)
-    ordered = keys.placed(narrow, TRIP_ORDER, MONTH_PARTITION)
+    spark = cleaned.sparkSession
+    narrow = has_zones(cleaned).select(*_TRIP_COLUMNS)
+    wanted = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    wanted = int(wanted or spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = counted_ranges(narrow, TRIP_ORDER, MONTH_PARTITION, scratch, wanted, range_rows)
     keep = (MONTH_PARTITION, "part_no", "row_no")
-    rows = build_fact(ordered, times, locations, weather, keep=keep)
-    keys.write_staged(rows, path, MONTH_PARTITION, touched_only)
+    return build_fact(ranges.placed(narrow), times, locations, weather, keep=keep), ranges.offsets
 
 
 def with_load_time(stored: DataFrame) -> DataFrame:
@@ -169,8 +172,3 @@ def with_load_time(stored: DataFrame) -> DataFrame:
     that makes every run of the build compile anew.
     """
     return stored.select("*", F.col("_metadata.file_modification_time").alias("loaded_at"))
-
-
-def by_month(trips: DataFrame) -> DataFrame:
-    """Adds the month the stored table is partitioned by."""
-    return trips.withColumn(MONTH_PARTITION, calendar.month_label(F.col("pickup_datetime")))

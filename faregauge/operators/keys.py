@@ -112,16 +112,32 @@ def offsets_of(ranges: DataFrame, by: Sequence[str]) -> DataFrame:
     before = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_n").over(before), F.lit(0))
     return ranges.select(
-        *by, (start + 1 - F.col("_first")).alias("key_offset"), (start + 1).alias("first_key")
+        *by, "_n", "_first", (start + 1 - F.col("_first")).alias("key_offset"), (start + 1).alias("first_key")
     )
 
 
-def numbered(staged: DataFrame, offsets: DataFrame, by: Sequence[str], name: str) -> DataFrame:
-    """Staged rows with their dense key in front and the placing columns removed."""
-    joined = staged.join(F.broadcast(offsets.select(*by, "key_offset")), list(by))
-    key: Column = (F.col("row_no") + F.col("key_offset")).alias(name)
+def _beside(staged: DataFrame, offsets: DataFrame, files: int = 100_000) -> DataFrame:
+    """``offsets`` to be broadcast if ``staged`` has at most so many files.
+
+    A range is written by one task into a file of its own, so the list of files, which the
+    planner has anyway, bounds the offsets. Beyond it the planner shuffles.
+    """
+    return F.broadcast(offsets) if len(staged.inputFiles()) <= files else offsets
+
+
+def _with_key(joined: DataFrame, staged: DataFrame, name: str, offset: Column) -> DataFrame:
     rest = [c for c in staged.columns if c not in ("part_no", "row_no")]
-    return joined.select(key, *rest)
+    return joined.select((F.col("row_no") + offset).alias(name), *rest)
+
+
+def numbered(staged: DataFrame, offsets: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """Staged rows with their dense key in front and the placing columns removed.
+
+    A range without an offset is an error: its rows would be lost without a trace.
+    """
+    joined = staged.join(_beside(staged, offsets.select(*by, "key_offset")), list(by), "left")
+    missing = F.raise_error(F.lit(f"a written range has no offset for {name}")).cast("long")
+    return _with_key(joined, staged, name, F.coalesce("key_offset", missing))
 
 
 def first_numbered(
@@ -133,7 +149,8 @@ def first_numbered(
     partitions. A place within a range says nothing once ranges before it shrink.
     """
     near = offsets.where(F.col("first_key") <= rows)
-    return numbered(staged, near, by, name).where(F.col(name) <= rows)
+    joined = staged.join(_beside(staged, near.select(*by, "key_offset")), list(by))
+    return _with_key(joined, staged, name, F.col("key_offset")).where(F.col(name) <= rows)
 
 
 def dense_key(rows: DataFrame, order: Sequence[str], name: str, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,12 +86,19 @@ class StarSchema:
         return self._stored("dim_weather", lambda: dimensions.dim_weather(self.weather(), staging))
 
     def _staged_fact(self) -> DataFrame:
-        """Fact rows in trip order, partitioned by pickup month."""
+        """Fact rows in trip order, partitioned by pickup month.
+
+        The offsets of its ranges are stored first: they are known before any row is written,
+        unless a single minute is larger than a range.
+        """
 
         def write(path: str) -> None:
-            fact.write_fact(
-                self.cleaned(), self.dim_time(), self.dim_location(), self.dim_weather(), path
-            )
+            scratch = self.store.path(f"_fact_ranges-{uuid.uuid4().hex[:12]}")
+            dims = (self.dim_time(), self.dim_location(), self.dim_weather())
+            rows, offsets = fact.ordered_fact(self.cleaned(), *dims, scratch)
+            if offsets is not None:
+                self._stored("fact_offsets", lambda: offsets)
+            keys.write_staged(rows, path, MONTH_PARTITION)
 
         return self.store.table("fact", write)
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import io
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+import pandas as pd
+import pyarrow.parquet as pq
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -118,21 +122,51 @@ def append_files(frames: Sequence[DataFrame], schema: StructType = TRIPS_RAW) ->
     return reduce(DataFrame.unionByName, [f.select(*_fitted(f, schema)) for f in frames])
 
 
+# Files up to this size are read whole to see their schema, when schemas differ.
+SMALL_FILE = 16 << 20
+
+
+def _schemas_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(path, schema) from whole files; a schema is text that is equal for equal columns."""
+    for batch in batches:
+        shown = [pq.read_schema(io.BytesIO(content)).remove_metadata().to_string() for content in batch["content"]]
+        yield pd.DataFrame({"path": batch["path"], "schema": shown})
+
+
+def same_schema(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """The given paths or their files in groups that one scan can read.
+
+    Usually all footers agree, which one distributed job finds out, whatever the number of
+    files. If types differ, small files are told apart by one more job and only larger ones
+    each by a call of its own.
+    """
+    try:
+        spark.read.option("mergeSchema", "true").parquet(*paths)
+        return [list(paths)]
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE" not in str(error):
+            raise
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(list(paths))
+    small = found.where(F.col("length") <= SMALL_FILE).select("path", "content")
+    groups: dict[str, list[str]] = {}
+    for row in small.mapInPandas(_schemas_of, "path string, schema string").collect():
+        groups.setdefault(row["schema"], []).append(row["path"])
+    for row in found.where(F.col("length") > SMALL_FILE).select("path").collect():
+        groups.setdefault(spark.read.parquet(row["path"]).schema.json(), []).append(row["path"])
+    return [sorted(same) for same in groups.values()]
+
+
 def scan_mixed(
     spark: SparkSession, paths: Sequence[str], schema: StructType = TRIPS_RAW, **extra: Column
 ) -> DataFrame:
     """Files whose column types differ, such as whole numbers in some and fractions in others.
 
-    Footers are read first and files of one schema share a scan, so the plan
-    grows with the number of schemas and not of files. ``extra`` columns are read
-    from each file's metadata.
+    Files of one schema share a scan, so the plan grows with the number of schemas and not
+    of files. ``extra`` columns are read from each file's metadata.
     """
-    groups: dict[str, list[str]] = {}
-    for path in paths:
-        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
     fitted = []
-    for same in groups.values():
-        rows = spark.read.parquet(*same)
+    for same in same_schema(spark, paths):
+        rows = spark.read.option("mergeSchema", "true").parquet(*same)
         fitted.append(rows.select(*_fitted(rows, schema), *[c.alias(name) for name, c in extra.items()]))
     return reduce(DataFrame.unionByName, fitted)
 

@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from faregauge.operators.keys import sorted_evenly
 
 
-def write_mart(table: DataFrame, path: str, partition_by: str | None = None) -> None:
+def write_mart(table: DataFrame, path: str, partition_by: str | None = None, laid_out: bool = False) -> None:
     """Replace a stored table with the rows of ``table``.
 
     With ``partition_by`` rows are gathered per partition first. The rebalance
     hint lets adaptive execution cut an oversized partition value into several
     files, so one month with a third of all rows does not end up in one task.
+    A table that is read from files by that partition already is ``laid_out``: its tasks
+    see few values each, keep their files open side by side, and nothing is shuffled.
     """
     writer = table
-    if partition_by:
+    if partition_by and not laid_out:
         writer = table.hint("rebalance", partition_by)
     write = writer.write.mode("overwrite")
     (write.partitionBy(partition_by) if partition_by else write).parquet(path)

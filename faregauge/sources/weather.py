@@ -27,15 +27,13 @@ def file_interval(paths: DataFrame) -> DataFrame:
 def scan_weather_daily(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Daily observations, the ten declared columns only, in their declared types.
 
-    Of several files that hold a date the first in order of their paths counts.
+    Of several files that hold a date the first in order of their paths counts, and rows
+    without a date are left out.
     """
     if not paths:
         raise ValueError("no daily weather file to read")
-    found = sorted({f for path in paths for f in spark.read.parquet(path).inputFiles()})
-    if len(found) < 2:
-        return scan_mixed(spark, paths, WEATHER_DAILY)
     rank = F.col("_metadata.file_path")
-    return first_file_per_day(scan_mixed(spark, found, WEATHER_DAILY, file_rank=rank))
+    return first_file_per_day(scan_mixed(spark, paths, WEATHER_DAILY, file_rank=rank))
 
 
 def scan_weather_hourly(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -6,12 +6,12 @@ import hashlib
 import re
 import warnings
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from faregauge.operators.keys import broadcast_if_small
 from faregauge.schemas import FILE_LEDGER, TRIPS_RAW
 from faregauge.sources.files import empty_table, hadoop_path, path_exists, scan_trips
 
@@ -86,7 +86,7 @@ def load_new_files(spark: SparkSession, paths: Sequence[str], staging: str, ledg
         if not path_exists(spark, ledger):
             raise ValueError("no trip file could be loaded")
         return empty_table(spark, FILE_LEDGER)
-    rows = scan_trips(spark, sorted(new)).withColumn(SOURCE, source_of_row(spark, new))
+    rows = with_source(scan_trips(spark, sorted(new)), new)
     # No shuffle: a task reads few files and so writes few partitions.
     (
         rows.write.mode("overwrite")
@@ -116,21 +116,37 @@ def source_id(spark: SparkSession, path: str) -> str:
     return hashlib.md5(full_path(spark, path).encode()).hexdigest()
 
 
-def source_of_row(spark: SparkSession, paths: Sequence[str]) -> Column:
-    """``source_id`` of the listed path that a row was read from.
+def listed_files(spark: SparkSession, files: Sequence[str], paths: Sequence[str]) -> list[tuple[str, str]]:
+    """(file, source id) of every file that lies in or is one of the listed paths.
 
-    Paths are compared as prefixes, the longest first, never as patterns. A row from
-    nowhere is an error: its partition would be lost with the next load.
+    A file belongs to the nearest listed folder above it. Paths are compared segment by
+    segment, never as patterns.
     """
+    listed = {full_path(spark, p): source_id(spark, p) for p in paths}
+    found = []
+    for file in files:
+        at = _one_slash(file)
+        while at not in listed and "/" in at:
+            at = at.rpartition("/")[0]
+        if at in listed:
+            found.append((_one_slash(file), listed[at]))
+    return found
+
+
+def with_source(rows: DataFrame, paths: Sequence[str]) -> DataFrame:
+    """``rows`` as read from the listed paths, with the ``source_id`` of the path each came from.
+
+    The reader's own list of files becomes a table that is joined to the path of every row: by
+    a broadcast of checked size, else by a shuffle. A row from nowhere is an error: its
+    partition would be lost with the next load.
+    """
+    spark = rows.sparkSession
+    table = listed_files(spark, rows.inputFiles(), paths)
+    files = broadcast_if_small(spark.createDataFrame(table, f"_file string, {SOURCE} string"))
     read_from = F.regexp_replace("_metadata.file_path", r"^([A-Za-z][\w+.-]*):/+", "$1:/")
-    unknown = F.raise_error(F.concat(F.lit("row from a file that was not listed: "), read_from))
-    listed = sorted({full_path(spark, p): source_id(spark, p) for p in paths}.items(), key=lambda x: len(x[0]))
-
-    def within(path: str) -> Column:
-        return (read_from == path) | F.startswith(read_from, F.lit(path + "/"))
-
-    # Built from the shortest to the longest, so that the longest is asked first.
-    return reduce(lambda rest, x: F.when(within(x[0]), F.lit(x[1])).otherwise(rest), listed, unknown)
+    unknown = F.raise_error(F.concat(F.lit("row from a file that was not listed: "), F.col("_file"))).cast("string")
+    joined = rows.withColumn("_file", read_from).join(files, "_file", "left")
+    return joined.select(*rows.columns, F.coalesce(SOURCE, unknown).alias(SOURCE))
 
 
 def read_staging(spark: SparkSession, staging: str, source: str | None = None) -> DataFrame:

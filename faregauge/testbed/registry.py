@@ -188,7 +188,7 @@ def _(w: Workspace):
 @exact("sink_mart")
 def _(w: Workspace):
     path = w.fresh("mart")
-    sinks.write_mart(w.star.fact(), path, filters.MONTH_PARTITION)
+    sinks.write_mart(w.star.fact(), path, filters.MONTH_PARTITION, laid_out=True)
     return w.spark.read.parquet(path).drop("loaded_at")
 
 
