@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faregauge.functions import calendar
-from faregauge.operators.keys import broadcast_if_small, offsets_of
+from faregauge.operators.keys import offsets_of
 
 # Rows a range has at most, but for its last minute.
 RANGE_ROWS = 2_000_000
+MINUTES = 1_100_000
 # Rows looked at per range when a single minute has to be cut.
 SAMPLED = 60
 _ROW_BITS = 33
@@ -42,15 +43,17 @@ class CountedRanges:
     order: tuple[str, ...]
     part: str
     cells: DataFrame
+    minutes: int
     count: int
     offsets: DataFrame | None
 
     def placed(self, rows: DataFrame) -> DataFrame:
         """``rows`` in order, with ``part``, ``part_no`` and ``row_no``.
 
-        One row per minute bounds the broadcast side, whose size is checked all the same.
+        The minutes, which were counted, are broadcast up to ``MINUTES``, two years of them;
+        beyond that the planner shuffles.
         """
-        cells = broadcast_if_small(self.cells, 1_000_000)
+        cells = F.broadcast(self.cells) if self.minutes <= MINUTES else self.cells
         keyed = rows.withColumn("_cell", minute(F.col(self.moment))).join(cells, "_cell")
         if self.offsets is None:
             passed = F.size(F.filter("_cuts", lambda cut: cut <= _comparable(self.order)))
@@ -93,36 +96,40 @@ def counted_ranges(
     """Ranges for ``rows`` sorted by ``order``, whose first column is a moment.
 
     No range goes over the end of a month, the value of column ``part``. There are at least
-    ``ranges`` of them if rows suffice. The windows run over minutes of a month and over
-    months, which the calendar bounds.
+    ``ranges`` of them if rows suffice. The window runs over the minutes of a month and
+    one row per month comes to the driver, which the calendar bounds.
     """
     spark = rows.sparkSession
     moment = order[0]
     rows.groupBy(minute(F.col(moment)).alias("_cell")).agg(F.count("*").alias("_n")).write.parquet(f"{path}/minutes")
     counts = spark.read.schema("_cell long, _n long").parquet(f"{path}/minutes")
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    width = max(1, min(range_rows, -(-total // max(ranges, 1))))
     label = F.when(F.col("_cell") < _LAST, calendar.month_label(F.timestamp_seconds(F.col("_cell") * 60)))
+    labelled = counts.withColumn(part, label)
+    # One row per month, so the bases of their ranges are added up here.
+    months = labelled.groupBy(part).agg(F.sum("_n").alias("n"), F.count("*").alias("minutes")).collect()
+    total = sum(m["n"] for m in months)
+    width = max(1, min(range_rows, -(-total // max(ranges, 1))))
+    bases, count = [], 0
+    for month in sorted(months, key=lambda m: (m[part] is None, m[part] or "")):
+        bases.append((month[part], count))
+        count += -(-month["n"] // width)
     so_far = Window.partitionBy(part).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.withColumn(part, label).withColumn("_before", F.coalesce(F.sum("_n").over(so_far), F.lit(0)))
-    spans = before.withColumns(
-        {"_first": F.floor(F.col("_before") / width), "_last": F.floor((F.col("_before") + F.col("_n") - 1) / width)}
+    before = labelled.withColumn("_before", F.coalesce(F.sum("_n").over(so_far), F.lit(0)))
+    first, last = F.floor(F.col("_before") / width), F.floor((F.col("_before") + F.col("_n") - 1) / width)
+    base = spark.createDataFrame(bases, "_part string, _base long")
+    located = before.join(F.broadcast(base), F.col(part).eqNullSafe(F.col("_part"))).select(
+        "_cell", part, "_n", (F.col("_base") + first).cast("int").alias("part_no"), (last - first).cast("int").alias("_pieces")
     )
-    months = spans.groupBy(part).agg((F.max("_last") + 1).alias("_ranges"))
-    past = Window.orderBy(F.col(part).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    bases = months.withColumn("_base", F.coalesce(F.sum("_ranges").over(past), F.lit(0)))
-    joined = spans.join(bases.withColumnRenamed(part, "_part"), F.col(part).eqNullSafe(F.col("_part")))
-    located = joined.select("_cell", part, "_n", (F.col("_base") + F.col("_first")).cast("int").alias("part_no"), (F.col("_last") - F.col("_first")).cast("int").alias("_pieces"))
     located.write.parquet(f"{path}/cells")
     cells = spark.read.schema(located.schema).parquet(f"{path}/cells")
+    minutes = sum(m["minutes"] for m in months)
     large = cells.where(F.col("_n") > width).select("_cell", "_pieces", "_n").collect()
-    count = int(bases.agg(F.sum("_ranges")).first()[0] or 0)
     if not large:
         sizes = cells.groupBy(part, "part_no").agg(F.sum("_n").alias("_n"), F.lit(0).cast("long").alias("_first"))
         plain = cells.select("_cell", part, "part_no", F.lit(None).alias("_cuts"))
-        return CountedRanges(moment, tuple(order), part, plain, count, offsets_of(sizes, [part, "part_no"]))
+        return CountedRanges(moment, tuple(order), part, plain, minutes, count, offsets_of(sizes, [part, "part_no"]))
     crowded = {row["_cell"]: row["_pieces"] for row in large}
     cuts = _cuts(rows, order, crowded, {row["_cell"]: row["_n"] for row in large})
     cut = cells.select("_cell", part, "part_no").join(cuts, "_cell", "left")
     cut.write.parquet(f"{path}/cuts")
-    return CountedRanges(moment, tuple(order), part, spark.read.schema(cut.schema).parquet(f"{path}/cuts"), count, None)
+    return CountedRanges(moment, tuple(order), part, spark.read.schema(cut.schema).parquet(f"{path}/cuts"), minutes, count, None)

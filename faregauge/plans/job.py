@@ -38,7 +38,7 @@ class MonthlyJob:
 
     ``trip_file`` names the data set of a month. ``weather`` and ``zones`` give
     the daily observations and the zone table; when one of them can't be named or read to its
-    end the run goes on with what its dimension holds, or with an empty table in the first run.
+    end, or is empty, the run goes on with what its dimension holds, or with an empty table in the first run.
     Table ``sources`` says which. Their later versions reach stored months: keys stay,
     attributes follow the source, and months whose weather days changed are built again.
 
@@ -117,15 +117,17 @@ class MonthlyJob:
         The source is read to its end here, as a file may prove broken only then. What fails
         later is an error.
         """
-        table = f"{name}_source"
+        table, dimension = f"{name}_source", {"zones": "dim_location"}.get(name, f"dim_{name}")
+        state = "stale" if change.has(dimension) else "empty"
         try:
             change.write(table, read())
         except Exception as error:  # noqa: BLE001  sources raise what they like
             warnings.warn(f"{name} not refreshed: {error}", stacklevel=2)
-            state = "stale" if change.has(f"dim_{'location' if name == 'zones' else name}") else "empty"
             return None, (name, state, 0, str(error).strip().split("\n")[0][:500])
         rows = change.read(table)
-        return rows, (name, "fresh", rows.count(), None)
+        count = rows.count()
+        # No rows tell nothing about the members that are there: they keep what they have.
+        return (rows, (name, "fresh", count, None)) if count else (None, (name, state, 0, "no rows"))
 
     def refresh_dimensions(self, change: Change, batch: DataFrame) -> set[date] | None:
         """Bring all dimensions up to date; the months whose trips look different now.

@@ -477,8 +477,14 @@ _BODIES = {
     "empty_table_fallback": """
         SELECT location_id, NULL::FLOAT AS latitude, NULL::FLOAT AS longitude,
           NULL::FLOAT AS latitude_rounded, NULL::FLOAT AS longitude_rounded,
-          NULL::VARCHAR AS zone_name, NULL::VARCHAR AS borough, NULL::VARCHAR AS service_zone
-        FROM used_zones WHERE location_id IS NOT NULL""",
+          NULL::VARCHAR AS zone_name, NULL::VARCHAR AS borough, NULL::VARCHAR AS service_zone,
+          coalesce(n, 0) AS trips, n AS trips_without_weather,
+          CASE WHEN n > 0 THEN -999::FLOAT END AS least_temperature,
+          CASE WHEN n > 0 THEN 'Unknown' END AS weather_description, 'weather=empty,zones=empty' AS sources
+        FROM used_zones LEFT JOIN (
+          SELECT pickup_location_id AS location_id, count(*) AS n FROM trips_clean
+          WHERE pickup_location_id IS NOT NULL AND dropoff_location_id IS NOT NULL GROUP BY ALL
+        ) USING (location_id) WHERE location_id IS NOT NULL""",
     "scan_zone_vertices": "SELECT * FROM vertices",
     "audit_files": "SELECT trip_month, count(*) AS row_count, true AS is_readable FROM trips_raw GROUP BY ALL",
     "scan_features": f"SELECT {_ROUNDED_FEATURES} FROM feature_matrix",
