@@ -31,7 +31,8 @@ from faregauge.llm.common import by_batch, prepare, text_or_empty
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 NEVER = np.int64(1) << 40
-PAIRS_REMEMBERED = 1_000_000
+# Verified pairs a worker remembers, some 100 bytes each.
+PAIRS_REMEMBERED = 250_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -236,59 +237,72 @@ def own_encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(words.encode_chunks, words.encode_texts, tuple(words.special))
 
 
-def encode(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
-    """(doc_id, ids) of every row of ``docs``; no shuffle."""
-    prepare(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
+def _each(lists: pa.ListArray):
+    bounds, ids = lists.offsets.to_numpy(), lists.values.to_numpy().astype("<u4")
+    return (ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True))
 
-    def make():
-        encoder = own_encoder(path)
 
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids, bounds = encoder.encode(batch.column("text"))
-            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "ids"])
+def _encoded(path: str, texts: pa.Array) -> pa.ListArray:
+    ids, bounds = own_encoder(path).encode(texts)
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
 
-        return step
 
-    return by_batch(rows, make, "doc_id long, ids array<int>")
+def _decoded(path: str, lists: pa.ListArray) -> list[str]:
+    words = vocabulary(path)
+    return [words.decode(ids) for ids in _each(lists)]
 
 
-def _each(lists: pa.ListArray):
-    bounds, ids = lists.offsets.to_numpy(), lists.values.to_numpy().astype("<u4")
-    return (ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True))
+def _sums(values) -> pa.Array:
+    return pa.array([hashlib.sha256(v).hexdigest() for v in values], pa.string())
 
 
-def decode(encoded: DataFrame, path: str = BYTE_BPE) -> DataFrame:
-    """(doc_id, ids, text) with the text that the ids stand for."""
+def _rows(docs: DataFrame) -> DataFrame:
+    prepare(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
 
-    def make():
-        words = vocabulary(path)
 
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = pa.array([words.decode(ids) for ids in _each(batch.column("ids"))], pa.string())
-            return pa.RecordBatch.from_arrays([*batch.columns, texts], ["doc_id", "ids", "text"])
+def encode(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
+    """(doc_id, ids) of every row of ``docs``; no shuffle."""
 
-        return step
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), _encoded(path, batch.column("text"))], ["doc_id", "ids"])
 
-    return by_batch(encoded.select("doc_id", "ids"), make, "doc_id long, ids array<int>, text string")
+    return by_batch(_rows(docs), lambda: step, "doc_id long, ids array<int>")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of decoded rows."""
+def decode(encoded: DataFrame, path: str = BYTE_BPE) -> DataFrame:
+    """(doc_id, ids, text) with the text that the ids stand for."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sums = pa.array([hashlib.sha256(ids).hexdigest() for ids in _each(batch.column("ids"))], pa.string())
-        sizes = pa.array(np.diff(batch.column("ids").offsets.to_numpy()).astype(np.int64))
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), sizes, sums, batch.column("decoded_sha256")],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+        texts = pa.array(_decoded(path, batch.column("ids")), pa.string())
+        return pa.RecordBatch.from_arrays([*batch.columns, texts], ["doc_id", "ids", "text"])
 
-    rows = decoded.select("doc_id", "ids", F.sha2(F.col("text"), 256).alias("decoded_sha256"))
-    return by_batch(rows, lambda: step, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return by_batch(encoded.select("doc_id", "ids"), lambda: step, "doc_id long, ids array<int>, text string")
+
+
+def encode_decode(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
+    """(doc_id, ids, text) as of ``decode(encode(docs))``, in one worker per task."""
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = _encoded(path, batch.column("text"))
+        texts = pa.array(_decoded(path, lists), pa.string())
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, texts], ["doc_id", "ids", "text"])
+
+    return by_batch(_rows(docs), lambda: step, "doc_id long, ids array<int>, text string")
 
 
 def round_trip(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
-    """Encode, decode, and digest both."""
-    return digests(decode(encode(docs, path), path))
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode, decode, and digest both.
+
+    All three in one worker per task, and only digests leave it.
+    """
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = _encoded(path, batch.column("text"))
+        sizes = pa.array(np.diff(lists.offsets.to_numpy()).astype(np.int64))
+        texts = (text.encode() for text in _decoded(path, lists))
+        columns = [batch.column("doc_id"), sizes, _sums(_each(lists)), _sums(texts)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return by_batch(_rows(docs), lambda: step, schema)

@@ -20,8 +20,9 @@ import pyarrow.compute as pc
 
 # White space beside a space, a space at the end. RE2 knows ASCII \s and the Z classes.
 _UNSAFE = r" [\s\x0b\x{85}\pZ]|[\s\x0b\x{85}\pZ] | \z"
-# Chunks that a worker remembers, some 250 bytes each.
-REMEMBERED = 600_000
+# Bytes of chunks and their ids that a worker remembers, and what an entry has besides.
+REMEMBERED_BYTES = 80 << 20
+ENTRY_BYTES = 180
 
 Encoder = Callable[[list[str]], list[bytes]]
 
@@ -41,11 +42,12 @@ class ChunkEncoder:
         self._unsafe = "|".join([_UNSAFE, *map(_escaped, special)])
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
+        self._held = 0
 
     def _ids_of(self, keys: list[str]) -> list[bytes]:
         # Two generations: what is met again in time is carried over, rare chunks go.
-        if len(self._known) > REMEMBERED // 2:
-            self._known, self._older = {}, self._known
+        if self._held > REMEMBERED_BYTES // 2:
+            self._known, self._older, self._held = {}, self._known, 0
         known, older = self._known, self._older
         found = [known.get(k) for k in keys]
         missing = []
@@ -55,10 +57,12 @@ class ChunkEncoder:
                 missing.append(i)
             else:
                 found[i] = known[key] = ids
+                self._held += ENTRY_BYTES + len(key) + len(ids)
         if missing:
             fresh = [keys[i] for i in missing]
             for i, key, ids in zip(missing, fresh, self._chunks(fresh), strict=True):
                 found[i] = known[key] = ids
+                self._held += ENTRY_BYTES + len(key) + len(ids)
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
