@@ -42,7 +42,7 @@ def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, text): the ids of every text and what they decode to."""
     prepare(spark)
-    decoded = bpe.decode(bpe.encode(docs))
+    decoded = bpe.encode_decode(docs)
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
 
 
