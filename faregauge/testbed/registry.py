@@ -196,9 +196,17 @@ def _(w: Workspace):
     return w.star.features().drop("feature_id")
 
 
-@query("scan_ml_results", "feature_importance")
+@query("feature_importance", digits=6)
 def _(w: Workspace):
-    return w.ml_results()
+    """Both importances of every feature, on the stand-in that SQL can compute as well."""
+    return w.correlation_results()
+
+
+@query("scan_ml_results", digits=6)
+def _(w: Workspace):
+    """The stored table of importances, read back by its declared schema."""
+    stored = w.store.table("stand_in_results", lambda path: sinks.write_mart(w.correlation_results(), path))
+    return w.spark.read.schema(stored.schema).parquet(w.store.path("stand_in_results"))
 
 
 @exact("describe_table")
@@ -260,10 +268,10 @@ def _(w: Workspace):
     return w.spark.read.parquet(path)
 
 
-@query("sink_ml_results")
+@query("sink_ml_results", digits=6)
 def _(w: Workspace):
     path = w.fresh("ml_results.parquet")
-    sinks.write_parquet(w.ml_results(), path)
+    sinks.write_parquet(w.correlation_results(), path)
     return w.spark.read.parquet(path)
 
 
@@ -272,20 +280,22 @@ def _(w: Workspace):
     path = w.fresh("metrics.json")
     metrics = models.all_metrics(w.metrics)
     sinks.write_metrics(metrics, path)
-    return w.spark.read.schema(metrics.schema).json(path)
+    again = w.spark.read.schema(metrics.schema).json(path)
+    lost = again.exceptAll(metrics).count() + metrics.exceptAll(again).count()
+    return again.select("model", "n_train", "n_test", F.lit(lost == 0).alias("is_unchanged"))
 
 
 @query("sink_models")
 def _(w: Workspace):
-    """Both saved models, loaded again, score the whole feature matrix."""
+    """Both saved models, loaded again, score the whole feature matrix: do they beat its mean?"""
     assert w.metrics
-    scored = [
-        models.evaluate(
-            models.load_model(w.model_path(forest)).transform(w.star.features()), forest.target
-        ).withColumn("model", F.lit(forest.name))
-        for forest in FORESTS
-    ]
-    return scored[0].unionByName(scored[1])
+
+    def scored(forest: models.Forest) -> DataFrame:
+        predicted = models.load_model(w.model_path(forest)).transform(w.star.features())
+        errors = predicted.agg(*models.error_measures(forest.target), F.count("prediction").alias("scored_rows"))
+        return errors.select(F.lit(forest.name).alias("model"), "scored_rows", (F.col("r2") > 0).alias("beats_mean"))
+
+    return scored(FORESTS[0]).unionByName(scored(FORESTS[1]))
 
 
 # --- incremental loading --------------------------------------------------------
@@ -1058,22 +1068,48 @@ def _(w: Workspace):
     return models.evaluate(scored, "actual", "is_training")
 
 
+def trained(w: Workspace, forest: models.Forest) -> DataFrame:
+    """Rows of each part, number of inputs, and whether the fit beats the mean of its training part."""
+    rows = features.split_train_test(w.star.features()).where("is_training")
+    spread = rows.agg(F.stddev_pop(forest.target)).first()[0]
+    used = len(models.load_model(w.model_path(forest)).stages[0].getInputCols()) if w.metrics else 0
+    beats = (F.col("train_rmse") < spread).alias("beats_mean")
+    return w.metrics[forest.name].select("model", "n_train", "n_test", F.lit(used).alias("n_features"), beats)
+
+
 @query("train_tip")
 def _(w: Workspace):
-    return w.metrics[models.TIP.name]
+    return trained(w, FORESTS[0])
 
 
 @query("train_duration")
 def _(w: Workspace):
-    return w.metrics[models.DURATION.name]
+    return trained(w, FORESTS[1])
 
 
 @query("cross_validate")
 def _(w: Workspace):
-    """Cross-validation part of the metrics of both models."""
-    return models.all_metrics(w.metrics).select("model", "cv_rmse", "cv_mae", "cv_r2")
+    """Rows that each fold fits and holds out, and whether the errors of all folds could be taken."""
+    rows = features.split_train_test(w.star.features()).where("is_training")
+    taken = models.all_metrics(w.metrics).select("model", ((F.col("cv_rmse") > 0) & (F.col("cv_mae") <= F.col("cv_rmse"))).alias("is_measured"))
+    folds = rows.groupBy("fold").agg(F.count("*").alias("n_held_out"))
+    total = rows.count()
+    return folds.withColumn("n_fit", F.lit(total) - F.col("n_held_out")).crossJoin(F.broadcast(taken))
+
+
+@query("model_metrics")
+def _(w: Workspace):
+    """All errors of both forests, cross-validated, on the training and on the test part."""
+    return models.all_metrics(w.metrics)
+
+
+@query("forest_importance")
+def _(w: Workspace):
+    """Importances of the fitted forests, which no SQL can state."""
+    return w.ml_results()
 
 
 @query("weather_impact")
 def _(w: Workspace):
-    return models.weather_impact(w.ml_results())
+    """Share of the importance that weather carries, on the stand-in."""
+    return models.weather_impact(w.correlation_results())
