@@ -11,10 +11,15 @@ shingles costs some n + 8 m draws, however large the weights.
 
 Bands. Equal runs of registers put texts into a common bucket. Bucket members are not
 paired with each other: in each bucket one pivot, the text that shares most buckets with
-others, is compared with all, and what is similar joins the pivot's class. Members outside that class are then compared with all
-members of other classes, block against block inside tasks of bounded size. Every pair of
-a bucket is then compared or lies within one class, so no class is split, while a bucket
-of n copies costs n comparisons.
+others, is compared with all, and what is similar joins the pivot's class. Members outside
+that class are then compared with all members of other classes, block against block inside
+tasks of bounded size. Every pair of a bucket is then compared or lies within one class, so
+no class is split, while a bucket of n copies costs n comparisons.
+
+Sketches before texts. One byte of every register is the sketch of a text. A comparison
+first counts equal bytes; only texts that agree as often as similar texts do, but for one
+pair in a million at the limit itself, are read, moved to the comparison and cut into
+shingles. What is returned as similar has always been verified on the texts.
 
 Classes. Texts with the same words are one text from the start, whatever their number;
 only one of them gets buckets. Links are joined to classes by alternating large-star and
@@ -28,7 +33,9 @@ table gives no rows. Columns other than doc_id and text are ignored by the searc
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +52,10 @@ ROW = "_near_row"
 
 @dataclass(frozen=True)
 class NearRule:
-    """Words per shingle, least similarity, bands, registers per band, texts per block.
+    """Words per shingle, least similarity, bands, registers per band, texts per block, miss of a sketch.
 
-    With 25 bands of 5 registers a pair at 0.8 shares no bucket once in 20,000 pairs.
+    With 25 bands of 5 registers a pair at 0.8 shares no bucket once in 20,000 pairs, and
+    ``sketch_miss`` bounds how often its sketches disagree too much.
     """
 
     words: int = WORDS
@@ -55,11 +63,27 @@ class NearRule:
     bands: int = 25
     registers: int = 5
     block: int = 256
+    sketch_miss: float = 1e-6
 
     @property
     def size(self) -> int:
         return self.bands * self.registers
 
+    @cached_property
+    def agreeing(self) -> int:
+        """Equal sketch bytes that a pair needs: fewer are rarer than ``sketch_miss`` at the limit.
+
+        Registers agree independently of each other, with the similarity as probability.
+        """
+        more, parts = self.similar
+        below, least = 0.0, 0
+        while least < self.size:
+            below += math.comb(self.size, least) * (more / parts) ** least * (1 - more / parts) ** (self.size - least)
+            if below > self.sketch_miss:
+                break
+            least += 1
+        return least
+
 
 def _draw(seed: np.ndarray, salt: int) -> np.ndarray:
     return mixed(seed ^ np.uint64(salt * 0x9E3779B97F4A7C15 % (1 << 64)))
@@ -116,16 +140,22 @@ def band_keys(times: np.ndarray, rule: NearRule) -> np.ndarray:
     return key.view(np.int64)
 
 
+def sketches(times: np.ndarray) -> np.ndarray:
+    """One byte per register."""
+    return (mixed(times.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+
+
 def _sign_batch(rule: NearRule):
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column("text")
         copies = [xxhash.xxh3_128_digest(b" ".join(t.encode().split())) for t in texts.to_pylist()]
-        sizes, keys = [], []
+        sizes, keys, bytes_ = [], [], []
         for start, stop in runs(texts):
             text, shingle, weight = shingle_bags(texts.slice(start, stop - start), rule.words)
             times = signatures(text, shingle, weight, stop - start, rule.size)
             sizes.append(np.bincount(text, weight, stop - start).astype(np.int64))
             keys.append(band_keys(times, rule))
+            bytes_ += [row.tobytes() for row in sketches(times)]
         flat = pa.array(np.concatenate(keys).reshape(-1) if keys else np.zeros(0, np.int64))
         bounds = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * rule.bands)
         return pa.RecordBatch.from_arrays(
@@ -135,8 +165,9 @@ def _sign_batch(rule: NearRule):
                 pa.array(copies, pa.binary()),
                 pa.array(np.concatenate(sizes) if sizes else np.zeros(0, np.int64)),
                 pa.ListArray.from_arrays(bounds, flat),
+                pa.array(bytes_, pa.binary()),
             ],
-            [ROW, "doc_id", "copy", "size", "bands"],
+            [ROW, "doc_id", "copy", "size", "bands", "sketch"],
         )
 
     return step
@@ -148,9 +179,9 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def signed(docs: DataFrame, rule: NearRule) -> DataFrame:
-    """(row, doc_id, copy, size, bands): digest of the words, shingles, band keys."""
+    """(row, doc_id, copy, size, bands, sketch): digest of the words, shingles, band keys."""
     rows = docs.select(F.col(ROW), F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    schema = f"{ROW} long, doc_id long, copy binary, size long, bands array<long>"
+    schema = f"{ROW} long, doc_id long, copy binary, size long, bands array<long>, sketch binary"
     return by_batch(rows, lambda: _sign_batch(rule), schema)
 
 
@@ -196,64 +227,59 @@ def _unpacked(texts: pa.Array) -> pa.Array:
     return pa.array([unpack(t).decode() for t in texts.to_pylist()], pa.string())
 
 
-def candidate_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """(row, text) of all texts that share a bucket with another, compressed one by one.
+def texts_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(row, text) of the rows in ``chosen``, compressed one by one.
 
-    Finding them takes the one shuffle of all texts there is, and compressed texts make it
-    about half as large. The result is stored, as both comparisons read it.
+    ``chosen`` is stored, so its size is known: while it is small it goes to the texts and
+    these are not shuffled; beyond that they are, compressed to about half.
     """
     rows = docs.select(F.col(ROW), text_or_empty().alias("text"))
     packed = by_batch(rows, lambda: _packed_batch, f"{ROW} long, text binary")
-    return stored(packed.join(members.select(ROW).distinct(), ROW, "left_semi"), "texts")
+    return packed.join(chosen, ROW, "left_semi")
 
 
-def _verify_batch(rule: NearRule):
-    more, parts = rule.similar
+def _agreement(a: pa.Array, b: pa.Array, rule: NearRule) -> np.ndarray:
+    left, right = _sketch_rows(a, rule), _sketch_rows(b, rule)
+    return np.count_nonzero(left == right, axis=1)
 
-    def bags(rows: pa.Array, texts: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """Multiset per row number; a pivot that occurs in many pairs is cut up once."""
-        different, place = np.unique(rows.to_numpy(), return_index=True)
-        chosen = _unpacked(texts.take(pa.array(place)))
-        found = {}
-        for start, stop in runs(chosen):
-            text, shingle, weight = shingle_bags(chosen.slice(start, stop - start), rule.words)
-            ends = np.searchsorted(text, np.arange(stop - start + 1))
-            for i in range(stop - start):
-                found[int(different[start + i])] = shingle[ends[i] : ends[i + 1]], weight[ends[i] : ends[i + 1]]
-        return found
-
-    def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> bool:
-        _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-        shared = int(np.minimum(a[1][i], b[1][j]).sum())
-        return parts * shared >= more * (int(a[1].sum()) + int(b[1].sum()) - shared)
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        left, right = bags(batch.column("a"), batch.column("a_text")), bags(batch.column("b"), batch.column("b_text"))
-        pairs = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
-        kept = pa.array([similar(left[a], right[b]) for a, b in pairs], pa.bool_())
-        return batch.select(["a", "b"]).filter(kept)
-
-    return step
+def _sketch_rows(sketch: pa.Array, rule: NearRule) -> np.ndarray:
+    return np.frombuffer(b"".join(sketch.to_pylist()), np.uint8).reshape(len(sketch), rule.size)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, rule: NearRule) -> DataFrame:
-    """The pairs (a, b) whose shingle multisets overlap enough; texts travel to the pairs.
+def _agreeing_batch(rule: NearRule):
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        near = _agreement(batch.column("a_sketch"), batch.column("b_sketch"), rule) >= rule.agreeing
+        return batch.select([ROW, "pivot"]).filter(pa.array(near))
 
-    A pivot with many pairs is a skewed key of a plain join, which adaptive execution splits.
-    """
-    right = texts.withColumnsRenamed({ROW: "b", "text": "b_text"})
-    left = texts.withColumnsRenamed({ROW: "a", "text": "a_text"})
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "a_text", "b_text")
-    return by_batch(both, lambda: _verify_batch(rule), "a long, b long")
+    return step
 
 
-def _compared(members: DataFrame, rule: NearRule) -> DataFrame:
-    """Pairs of pivot and member, once each; sizes too unlike for the rule are left out."""
+def with_pivots(members: DataFrame, sketch: DataFrame, rule: NearRule) -> DataFrame:
+    """(row, pivot), once per pair, where sizes and sketches allow a link."""
     more, parts = rule.similar
     pairs = members.where(f"{ROW} <> pivot")
     fits = F.least("size", "pivot_size") * parts >= F.greatest("size", "pivot_size") * more
-    least, most = F.least(ROW, "pivot"), F.greatest(ROW, "pivot")
-    return pairs.where(fits).select(least.alias("a"), most.alias("b")).distinct()
+    a, b = F.least(ROW, "pivot").alias("a"), F.greatest(ROW, "pivot").alias("b")
+    pairs = pairs.where(fits).groupBy(a, b).agg(F.min("pivot").alias("pivot"))
+    pairs = pairs.select((F.col("a") + F.col("b") - F.col("pivot")).alias(ROW), "pivot")
+    one = sketch.withColumnRenamed("sketch", "a_sketch")
+    other = sketch.select(F.col(ROW).alias("pivot"), F.col("sketch").alias("b_sketch"))
+    both = pairs.join(one, ROW).join(other, "pivot").select(ROW, "pivot", "a_sketch", "b_sketch")
+    return by_batch(both, lambda: _agreeing_batch(rule), f"{ROW} long, pivot long")
+
+
+def pivot_cells(pairs: DataFrame, rule: NearRule) -> DataFrame:
+    """Cells of a pivot and at most about ``block`` of its partners, in the form of ``cells_of``."""
+    many = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / rule.block).cast("int").alias("parts"))
+    dealt = pairs.join(many, "pivot").withColumn("x", F.pmod(F.xxhash64(ROW, F.lit(5)), "parts").cast("int"))
+    bucket, y = F.col("pivot").alias("bucket"), F.lit(0).alias("y")
+    asking = dealt.select(bucket, "x", y, F.lit(True).alias("asks"), ROW, F.col(ROW).alias("label"))
+    heads = dealt.select("pivot", "x").distinct()
+    asked = heads.select(
+        bucket, "x", y, F.lit(False).alias("asks"), F.col("pivot").alias(ROW), F.col("pivot").alias("label")
+    )
+    return asking.unionByName(asked)
 
 
 def _cell_links(rule: NearRule):
@@ -294,13 +320,31 @@ def _cell_links(rule: NearRule):
     return step
 
 
-def verified_in_cells(members: DataFrame, labels: DataFrame, texts: DataFrame, rule: NearRule) -> DataFrame:
-    """Links that the pivots' comparisons leave open, as (a, b).
+def _cell_partners(rule: NearRule):
+    def step(cell: pa.Table) -> pa.Table:
+        side = cell.column("asks").to_numpy()
+        asking, asked = cell.filter(pa.array(side)), cell.filter(pa.array(~side))
+        x, y = (_sketch_rows(t.column("sketch"), rule) for t in (asking, asked))
+        x_label, y_label = asking.column("label").to_numpy(), asked.column("label").to_numpy()
+        x_near, y_near = np.zeros(len(x), bool), np.zeros(len(y), bool)
+        for i in range(len(x)):
+            near = (np.count_nonzero(y == x[i], axis=1) >= rule.agreeing) & (y_label != x_label[i])
+            x_near[i] = near.any()
+            y_near |= near
+        kept = pa.concat_tables([asking.filter(pa.array(x_near)), asked.filter(pa.array(y_near))])
+        return kept.select(["bucket", "x", "y", "asks", ROW, "label"])
+
+    return step
+
+
+def cells_of(members: DataFrame, labels: DataFrame, sketch: DataFrame, rule: NearRule) -> DataFrame:
+    """(bucket, x, y, asks, row, label): what the pivots' comparisons leave open.
 
     In each bucket, members outside the pivot's class are compared with all members of other
     classes. Both sides are dealt into blocks, and a cell of two blocks is one group of
-    bounded size: texts move to cells, no pair is a row, only links come out. A bucket whose
-    members are all alike has no such members and costs nothing.
+    bounded size. Sketches move to all cells, and what has a partner there stays in the cell,
+    for the comparison of texts; no pair is a row. A bucket whose members are all alike has
+    no such members and costs nothing.
     """
     known = labels.withColumnsRenamed({"node": ROW, "root": "label"})
     # A bucket of two is done with its one pair.
@@ -308,7 +352,7 @@ def verified_in_cells(members: DataFrame, labels: DataFrame, texts: DataFrame, r
     heads = now.where(f"{ROW} = pivot").select("bucket", F.col("label").alias("head"))
     now = now.join(heads, "bucket").select("bucket", ROW, "n", "label", (F.col("label") != F.col("head")).alias("asks"))
     now = stored(now, "open")
-    active = now.where("asks").groupBy("bucket").agg(F.count("*").alias("asking"))
+    active = stored(now.where("asks").groupBy("bucket").agg(F.count("*").alias("asking")), "active")
     now = now.join(active, "bucket")
 
     def dealt(total: str) -> Column:
@@ -323,8 +367,15 @@ def verified_in_cells(members: DataFrame, labels: DataFrame, texts: DataFrame, r
     asking = now.where("asks").withColumn("x", place("asking")).withColumn("y", every("n"))
     asked = now.withColumn("asks", F.lit(False)).withColumn("y", place("n")).withColumn("x", every("asking"))
     cells = asking.unionByName(asked).select("bucket", "x", "y", "asks", ROW, "label")
-    both = cells.join(texts, ROW)
-    return both.groupBy("bucket", "x", "y").applyInArrow(_cell_links(rule), "a long, b long")
+    schema = f"bucket long, x int, y int, asks boolean, {ROW} long, label long"
+    return cells.join(sketch, ROW).groupBy("bucket", "x", "y").applyInArrow(_cell_partners(rule), schema)
+
+
+def linked(cells: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
+    """(a, b) of the texts in stored ``cells`` that are similar and have different labels."""
+    chosen = stored(cells.select(ROW).distinct(), "chosen")
+    texts = stored(texts_of(docs, chosen), "texts")
+    return cells.join(texts, ROW).groupBy("bucket", "x", "y").applyInArrow(_cell_links(rule), "a long, b long")
 
 
 def _relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -348,21 +399,23 @@ def classes(docs: DataFrame, rule: NearRule | None = None) -> DataFrame:
     copies = stored(all_rows.groupBy("copy").agg(F.min(ROW).alias("rep")), "copies")
     texts = all_rows.where("size > 0").join(copies.select(F.col("rep").alias(ROW)), ROW, "left_semi")
     spread = texts.select(F.explode("bands").alias("bucket"), ROW, "size")
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    # Tables of known size: while small they go to the other side, which then isn't shuffled.
+    shared = stored(spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     members = stored(spread.join(shared, "bucket"), "members")
     # The text that shares most buckets with others is the likeliest to be like all of them.
-    weights = members.groupBy(ROW).agg(F.sum("n").alias("weight"))
+    weights = stored(members.groupBy(ROW).agg(F.sum("n").alias("weight")), "weights")
     members = stored(members.join(weights, ROW), "members")
     order = F.struct("weight", (-F.col(ROW)).alias("before"), "size")
     pivots = members.groupBy("bucket").agg(F.max(order).alias("top"))
     pivots = pivots.select("bucket", (-F.col("top.before")).alias("pivot"), F.col("top.size").alias("pivot_size"))
     members = stored(members.join(pivots, "bucket"), "members")
 
-    pairs = stored(_compared(members, rule), "pairs")
-    candidates = candidate_texts(docs, members)
-    labels = _relabelled(None, verified(pairs, candidates, rule))
-    left_over = verified_in_cells(members, labels, candidates, rule)
-    labels = _relabelled(labels, left_over)
+    sketch = stored(texts.select(ROW, "sketch").join(weights.select(ROW), ROW, "left_semi"), "sketches")
+    pairs = stored(with_pivots(members, sketch, rule), "pairs")
+    labels = _relabelled(None, linked(stored(pivot_cells(pairs, rule), "cells"), docs, rule))
+    left_over = stored(cells_of(members, labels, sketch, rule), "cells")
+    if not left_over.isEmpty():
+        labels = _relabelled(labels, linked(left_over, docs, rule))
     roots = copies.join(labels.withColumnsRenamed({"node": "rep"}), "rep", "left")
     roots = roots.select("copy", F.coalesce("root", "rep").alias("root"))
     return all_rows.select(ROW, "doc_id", "copy").join(roots, "copy").select(ROW, "doc_id", "root")

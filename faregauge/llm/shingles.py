@@ -13,7 +13,7 @@ WORDS = 5
 # Texts are taken in runs of about so many bytes, which bounds the arrays of a step.
 RUN_BYTES = 1 << 20
 # Words whose hashes a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 _GOLDEN = 0x9E3779B97F4A7C15
 _hashes: dict[str, int] = {}

@@ -118,3 +118,34 @@ def test_least_node_of_each_component(make):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 50), (100, 60), (100, 70), (7, 7)]
     got = {r.node: r.root for r in near_dedup.components(make(edges, "a long, b long")).collect()}
     assert got == {i: 1 for i in range(2, 41)} | {60: 50, 70: 50, 100: 50}
+
+
+def test_sketches_let_similar_texts_pass():
+    """The bound is the binomial tail, and pairs just above the limit pass it."""
+    rule = NearRule()
+    draws = np.random.default_rng(5).binomial(rule.size, 0.8, 2_000_000)
+    assert (draws < rule.agreeing).sum() <= 12
+    assert (draws < rule.agreeing + 10).sum() > 100
+    rng = random.Random(6)
+    texts = []
+    for _ in range(200):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        texts += [" ".join(words), " ".join("x" if i % 50 == 25 else w for i, w in enumerate(words))]
+    for a, b in zip(texts[::2], texts[1::2], strict=True):
+        assert 0.8 <= likeness(bag(a), bag(b)) < 0.82
+    text, shingle, weight = shingle_bags(pa.array(texts))
+    found = near_dedup.sketches(near_dedup.signatures(text, shingle, weight, len(texts), rule.size))
+    assert ((found[::2] == found[1::2]).sum(1) >= rule.agreeing).all()
+
+
+def test_blocks_smaller_than_buckets(spark, make):
+    """Many copies with small changes and many unlike texts in one bucket, in blocks of 4."""
+    rng = random.Random(12)
+    common = [f"c{i}" for i in range(60)]
+    rows = []
+    for i in range(12):
+        own = common + [f"d{rng.randrange(10**6)}" for _ in range(60)]
+        rows += [(10 * i + j, " ".join(own + [f"e{j}"])) for j in range(rng.randrange(1, 9))]
+    docs = make(rows, "doc_id long, text string")
+    got = near_dedup.near_duplicates(docs, NearRule(bands=25, registers=1, block=4)).collect()
+    assert {r.doc_id: r.class_id for r in got} == {n: n // 10 * 10 for n, _ in rows}
