@@ -5,15 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from faregauge.operators import trees
 from faregauge.operators.features import (
     WEATHER_FEATURES,
     drop_empty_columns,
@@ -27,9 +25,22 @@ from faregauge.schemas import ML_RESULTS
 _BOOKKEEPING = ("feature_id", "is_training", "fold")
 
 
+# Fit 0 is on the whole training part, fit k + 1 leaves out fold k.
+_WHOLE = 0
+
+_TREE = (
+    "tree int, feature array<smallint>, cut array<double>, left array<int>, value array<double>, gains array<double>"
+)
+_GROWN = f"fit int, part int, {_TREE}, row bigint, total double, target double, is_training boolean"
+_ABOUT = "name string, target string, trees int, trees_per_task int, inputs array<string>"
+
+
 @dataclass(frozen=True)
 class Forest:
-    """What to predict, what to leave out and how to grow the trees."""
+    """What to predict, what to leave out and how to grow the trees.
+
+    ``rows`` bounds the sample a forest is grown on, and with it what a task holds.
+    """
 
     name: str
     target: str
@@ -39,17 +50,11 @@ class Forest:
     rows: int = 150_000
     folds: int = 5
     seed: int = 42
+    trees_per_task: int = 20
 
-    def regressor(self) -> RandomForestRegressor:
-        return RandomForestRegressor(
-            featuresCol="features",
-            labelCol=self.target,
-            numTrees=self.trees,
-            maxDepth=self.depth,
-            featureSubsetStrategy="all",
-            seed=self.seed,
-            maxMemoryInMB=1024,
-        )
+    @property
+    def parts(self) -> int:
+        return -(-self.trees // self.trees_per_task)
 
 
 TIP = Forest("tip_model", "tip_percentage", "trip_duration_min", depth=15)
@@ -70,9 +75,150 @@ def inputs(rows: DataFrame, forest: Forest) -> list[str]:
     return [c for c in rows.columns if c not in skipped]
 
 
-def fit(rows: DataFrame, forest: Forest) -> PipelineModel:
-    assembler = VectorAssembler(inputCols=inputs(rows, forest), outputCol="features")
-    return Pipeline(stages=[assembler, forest.regressor()]).fit(rows)
+def _numbers(columns: Sequence[str]) -> Column:
+    return F.array(*[F.col(c).cast("double") for c in columns])
+
+
+def _by_input(x: pa.ChunkedArray, inputs: int) -> np.ndarray:
+    """Inputs by rows; a missing one is no number."""
+    flat = x.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return np.ascontiguousarray(flat.reshape(len(x), inputs).T)
+
+
+def _grow_part(forest: Forest, n_inputs: int):
+    """Some trees of one fit, from all sampled rows, and the sums of what they predict.
+
+    Rows are put in the order of their keys first, so trees don't depend on partitions. Sums
+    are returned for the rows that measure the fit: all of them for the whole one, else the
+    fold that it leaves out.
+    """
+
+    def step(key: tuple, rows: pa.Table) -> pa.Table:
+        number, part = (k.as_py() for k in key)
+        rows = rows.sort_by("feature_id")
+        x, y = _by_input(rows.column("x"), n_inputs), rows.column("target").to_numpy()
+        held = rows.column("held").to_numpy()
+        chosen = np.flatnonzero(~held)
+        asked = np.arange(len(y)) if number == _WHOLE else np.flatnonzero(held)
+        total = np.zeros(len(asked))
+        grown = []
+        first = part * forest.trees_per_task
+        for tree in range(first, min(first + forest.trees_per_task, forest.trees)):
+            weight = trees.bootstrap(len(y), chosen, (forest.seed, number, tree))
+            found = trees.grow(x, y, weight, forest.depth)
+            total += found.predict(x[:, asked])
+            if number == _WHOLE:
+                grown.append((tree, found.feature, found.cut, found.left, found.value, found.gains))
+        sums = pa.table(
+            {
+                "row": rows.column("feature_id").take(pa.array(asked)),
+                "total": pa.array(total),
+                "target": pa.array(y[asked]),
+                "is_training": pa.array(~held[asked]),
+            }
+        )
+        kinds = [pa.int32(), *map(pa.list_, (pa.int16(), pa.float64(), pa.int32(), pa.float64(), pa.float64()))]
+        names = ["tree", "feature", "cut", "left", "value", "gains"]
+        columns = zip(*grown, strict=True) if grown else [[]] * len(names)
+        nodes = pa.table({n: pa.array(list(c), k) for n, c, k in zip(names, columns, kinds, strict=True)})
+        both = pa.concat_tables([nodes, sums], promote_options="default")
+        both = both.append_column("fit", pa.array([number] * len(both), pa.int32()))
+        both = both.append_column("part", pa.array([part] * len(both), pa.int32()))
+        order = ["fit", "part", *names, "row", "total", "target", "is_training"]
+        return both.select(order)
+
+    return step
+
+
+def spread(rows: DataFrame, forest: Forest, names: Sequence[str]) -> DataFrame:
+    """What each task returns: rows are sent once to every pair of a fit and a part of its trees."""
+    fits = F.explode(F.sequence(F.lit(0), F.when(F.col("is_training"), forest.folds).otherwise(0))).alias("fit")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(forest.parts - 1))).alias("part")
+    target = F.col(forest.target).cast("double").alias("target")
+    sent = rows.select("feature_id", _numbers(names).alias("x"), target, "is_training", "fold", fits)
+    held = F.when(F.col("fit") == _WHOLE, ~F.col("is_training")).otherwise(F.col("fold") + 1 == F.col("fit"))
+    sent = sent.select("feature_id", "x", "target", held.alias("held"), "fit", parts)
+    tasks = (forest.folds + 1) * forest.parts
+    # A stated number keeps adaptive execution from merging small but dear partitions.
+    tasked = sent.repartition(2 * tasks, "fit", "part").groupBy("fit", "part")
+    return tasked.applyInArrow(_grow_part(forest, len(names)), _GROWN)
+
+
+def fit(rows: DataFrame, forest: Forest, path: str) -> FittedForest:
+    """Grow a forest and its cross-validation on split ``rows``, all in one stage, under ``path``.
+
+    ``rows`` has at most ``forest.rows`` rows with ``feature_id``, ``is_training`` and ``fold``.
+    A task gets all of them, which is a few megabytes, and grows some trees of one fit. Splits
+    are exact, as no input is binned.
+    """
+    names = inputs(rows, forest)
+    kind = F.when(F.col("tree").isNotNull(), "tree").otherwise("sum").alias("kind")
+    grown = spread(rows, forest, names).select("*", kind)
+    grown.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/grown")
+    about = [(forest.name, forest.target, forest.trees, forest.trees_per_task, names)]
+    spark = rows.sparkSession
+    spark.createDataFrame(about, _ABOUT).coalesce(1).write.mode("overwrite").json(f"{path}/about")
+    return FittedForest(spark, path)
+
+
+def _predict_cell(n_inputs: int):
+    def step(rows: pa.Table, grown: pa.Table) -> pa.Table:
+        x = _by_input(rows.column("x"), n_inputs)
+        total = np.zeros(len(rows))
+        for at in range(len(grown)):
+            node = [grown.column(c)[at].values.to_numpy() for c in ("feature", "cut", "left", "value", "gains")]
+            total += trees.Tree(*node).predict(x)
+        return pa.table({"row": rows.column("row"), "total": pa.array(total)})
+
+    return step
+
+
+class FittedForest:
+    """A forest under a path: one row per tree, sums of its predictions, and what it is."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        about = spark.read.schema(_ABOUT).json(f"{path}/about").first()
+        self.inputs: list[str] = list(about["inputs"])
+        self.target: str = about["target"]
+        self.n_trees: int = about["trees"]
+        self.n_parts = -(-about["trees"] // about["trees_per_task"])
+        self._grown = spark.read.schema(f"{_GROWN}, kind string").parquet(f"{path}/grown")
+
+    @property
+    def trees(self) -> DataFrame:
+        """One row per tree, its nodes as arrays."""
+        columns = ("part", "tree", "feature", "cut", "left", "value", "gains")
+        return self._grown.where("kind = 'tree'").select(*columns)
+
+    def measured(self) -> DataFrame:
+        """(fit, row, target, is_training, prediction) of the rows each fit is measured on."""
+        by = ("fit", "row", "target", "is_training")
+        sums = self._grown.where("kind = 'sum'").groupBy(*by)
+        return sums.agg((F.sum("total") / self.n_trees).alias("prediction"))
+
+    def transform(self, rows: DataFrame, key: str = "feature_id", per_cell: int = 200_000) -> DataFrame:
+        """``rows``, whose ``key`` is unique, with ``prediction``.
+
+        Rows meet the forest in cells of some ``per_cell`` rows and the trees of one part, so a
+        task holds neither all trees nor all rows, and predictions of the parts are added up.
+        """
+        cells = -(-rows.count() // per_cell) or 1
+        cell = F.pmod(F.xxhash64(key), F.lit(cells)).cast("int").alias("cell")
+        parts = F.explode(F.sequence(F.lit(0), F.lit(self.n_parts - 1))).alias("part")
+        sent = rows.select(F.col(key).alias("row"), _numbers(self.inputs).alias("x"), cell, parts)
+        everywhere = F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell")
+        grown = self.trees.select("*", everywhere)
+        by = ("part", "cell")
+        kind = rows.schema[key].dataType.simpleString()
+        found = (
+            sent.groupBy(*by)
+            .cogroup(grown.groupBy(*by))
+            .applyInArrow(_predict_cell(len(self.inputs)), f"row {kind}, total double")
+            .groupBy(F.col("row").alias(key))
+            .agg((F.sum("total") / self.n_trees).alias("prediction"))
+        )
+        return rows.join(found, key)
 
 
 def error_measures(label: str, prediction: str = "prediction") -> list[Column]:
@@ -94,53 +240,23 @@ def evaluate(predictions: DataFrame, label: str, *by: str) -> DataFrame:
     return predictions.groupBy(*by).agg(*error_measures(label))
 
 
-def cross_validate(rows: DataFrame, forest: Forest, parallel: int = 5) -> DataFrame:
-    """Errors on each held-out fold of the training part.
-
-    One fit per fold serves all three measures, and folds are fitted side by side.
-    """
-    training = rows.where("is_training")
-
-    def held_out(k: int) -> DataFrame:
-        model = fit(training.where(F.col("fold") != k), forest)
-        scored = model.transform(training.where(F.col("fold") == k))
-        return evaluate(scored, forest.target).withColumn("fold", F.lit(k))
-
-    with ThreadPool(parallel) as pool:
-        task = inheritable_thread_target(rows.sparkSession)(held_out)
-        return reduce(DataFrame.unionByName, pool.map(task, range(forest.folds)))
+def cross_validate(model: FittedForest) -> DataFrame:
+    """(fold, errors) on each held-out fold of the training part."""
+    held_out = model.measured().where(F.col("fit") != _WHOLE).withColumn("fold", F.col("fit") - 1)
+    return evaluate(held_out, "target", "fold")
 
 
-def in_memory(rows: DataFrame, per_partition: int = 10_000) -> DataFrame:
-    """Rows kept for several fits, in few partitions.
-
-    Every partition sends statistics of all open nodes, so too many of them
-    cost more than they save. The cap on the rows bounds the number.
-    """
-    spark = rows.sparkSession
-    parts = min(spark.sparkContext.defaultParallelism, rows.count() // per_partition + 1)
-    return rows.repartition(parts, "feature_id").persist()
-
-
-def train(features: DataFrame, forest: Forest, path: str | None = None) -> DataFrame:
-    """Fit, cross-validate and evaluate one forest; saves the model under ``path``.
+def train(features: DataFrame, forest: Forest, path: str) -> DataFrame:
+    """Fit, cross-validate and evaluate one forest, which is kept under ``path``.
 
     Returns one row of metrics.
     """
     spark = features.sparkSession
-    rows = in_memory(training_rows(features, forest))
-    try:
-        model = fit(rows.where("is_training"), forest)
-        if path:
-            model.write().overwrite().save(path)
-        folds = cross_validate(rows, forest)
-        cv = folds.agg(*[F.avg(c).alias(f"cv_{c}") for c in ("rmse", "mae", "r2")]).first()
-        scored = model.transform(rows).groupBy("is_training").agg(
-            *error_measures(forest.target), F.count("*").alias("n")
-        )
-        parts = {row["is_training"]: row for row in scored.collect()}
-    finally:
-        rows.unpersist()
+    model = fit(training_rows(features, forest), forest, path)
+    cv = cross_validate(model).agg(*[F.avg(c).alias(f"cv_{c}") for c in ("rmse", "mae", "r2")]).first()
+    whole = model.measured().where(F.col("fit") == _WHOLE)
+    scored = whole.groupBy("is_training").agg(*error_measures("target"), F.count("*").alias("n"))
+    parts = {row["is_training"]: row for row in scored.collect()}
     training, test = parts[True], parts.get(False)
     return spark.createDataFrame(
         [
@@ -161,15 +277,18 @@ def train(features: DataFrame, forest: Forest, path: str | None = None) -> DataF
     )
 
 
-def importances(spark: SparkSession, model: PipelineModel, column: str) -> DataFrame:
-    """Importance of each input of a fitted model."""
-    assembler, forest = model.stages
-    names: Sequence[str] = assembler.getInputCols()
-    values = forest.featureImportances.toArray()
-    return spark.createDataFrame(
-        [(n, float(v)) for n, v in zip(names, values, strict=True)],
-        f"feature_name string, {column} double",
+def importances(model: FittedForest, column: str) -> DataFrame:
+    """Importance of each input: its share of what a tree's cuts gain, averaged over the trees."""
+    total = F.aggregate("gains", F.lit(0.0), lambda a, g: a + g)
+    shares = F.when(total > 0, F.transform("gains", lambda g: g / total)).otherwise(
+        F.transform("gains", lambda g: F.lit(0.0))
     )
+    names = F.array(*[F.lit(n) for n in model.inputs])
+    each = model.trees.select(F.posexplode(shares).alias("at", "share"))
+    means = each.groupBy("at").agg(F.avg("share").alias("mean"))
+    whole = F.sum("mean").over(Window.partitionBy())
+    share = F.when(whole > 0, F.col("mean") / whole).otherwise(F.lit(0.0)).alias(column)
+    return means.select(F.get(names, F.col("at")).alias("feature_name"), share)
 
 
 def feature_union(tip: DataFrame, duration: DataFrame) -> DataFrame:
@@ -230,8 +349,8 @@ def weather_impact(results: DataFrame, significant_pct: float = 15.0) -> DataFra
     return results.agg(*[column.alias(name) for name, column in columns.items()])
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(spark: SparkSession, path: str) -> FittedForest:
+    return FittedForest(spark, path)
 
 
 def all_metrics(metrics: Mapping[str, DataFrame]) -> DataFrame:

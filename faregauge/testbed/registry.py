@@ -291,7 +291,7 @@ def _(w: Workspace):
     assert w.metrics
 
     def scored(forest: models.Forest) -> DataFrame:
-        predicted = models.load_model(w.model_path(forest)).transform(w.star.features())
+        predicted = models.load_model(w.spark, w.model_path(forest)).transform(w.star.features())
         errors = predicted.agg(*models.error_measures(forest.target), F.count("prediction").alias("scored_rows"))
         return errors.select(F.lit(forest.name).alias("model"), "scored_rows", (F.col("r2") > 0).alias("beats_mean"))
 
@@ -1072,7 +1072,7 @@ def trained(w: Workspace, forest: models.Forest) -> DataFrame:
     """Rows of each part, number of inputs, and whether the fit beats the mean of its training part."""
     rows = features.split_train_test(w.star.features()).where("is_training")
     spread = rows.agg(F.stddev_pop(forest.target)).first()[0]
-    used = len(models.load_model(w.model_path(forest)).stages[0].getInputCols()) if w.metrics else 0
+    used = len(models.load_model(w.spark, w.model_path(forest)).inputs) if w.metrics else 0
     beats = (F.col("train_rmse") < spread).alias("beats_mean")
     return w.metrics[forest.name].select("model", "n_train", "n_test", F.lit(used).alias("n_features"), beats)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from dataclasses import replace
 from functools import cached_property
 from itertools import count
 
@@ -21,11 +20,7 @@ from faregauge.testbed import tables
 
 INPUTS = ("lineitem", "orders", "customer", "nation", "region")
 
-# Small forests: the full ones take a quarter of an hour even on a few thousand rows.
-FORESTS = (
-    replace(models.TIP, trees=20, depth=8),
-    replace(models.DURATION, trees=20, depth=10),
-)
+FORESTS = (models.TIP, models.DURATION)
 
 
 def inspect(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
@@ -150,9 +145,7 @@ class Workspace:
         def write(path: str) -> None:
             assert self.metrics
             sides = [
-                models.importances(
-                    self.spark, models.load_model(self.model_path(forest)), f"importance_{kind}"
-                )
+                models.importances(models.load_model(self.spark, self.model_path(forest)), f"importance_{kind}")
                 for forest, kind in zip(FORESTS, ("tip", "duration"), strict=True)
             ]
             write_mart(models.feature_importance(*sides), path)

@@ -208,9 +208,10 @@ def test_forest_beats_the_mean(spark, tmp_path):
     metrics = models.train(rows, small, str(tmp_path / "m")).first()
     assert metrics["test_r2"] > 0.9 and metrics["cv_rmse"] < 3
     assert metrics["n_train"] + metrics["n_test"] == 800
-    model = models.load_model(str(tmp_path / "m"))
-    assert model.stages[0].getInputCols() == ["trip_distance", "passenger_count"]
-    scores = dict(values(models.importances(spark, model, "importance_tip")))
+    model = models.load_model(spark, str(tmp_path / "m"))
+    assert model.inputs == ["trip_distance", "passenger_count"]
+    scores = dict(values(models.importances(model, "importance_tip")))
+    assert sum(scores.values()) == pytest.approx(1)
     assert scores["trip_distance"] > scores["passenger_count"]
 
 
