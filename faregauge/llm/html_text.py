@@ -2,21 +2,24 @@
 
 Start and end tags build a tree; tags that HTML lets authors leave out are implied (a row
 ends the row before, a block ends an open paragraph, what can't stand in a head ends it). What a browser hides is left out:
-heads, scripts, templates, ``hidden``, inline ``display:none`` and ``visibility:hidden``,
-and selectors by tag, class or id that the page's own style sheets hide. All other text,
+heads, scripts, templates, ``hidden``, closed dialogs, and what inline styles and the page's
+own style sheets hide (``styles``); ``visibility`` is inherited and may return inside. All other text,
 with formulas, text in drawings and what an object falls back to, is emitted: blocks on lines of their own with a blank line around paragraphs, headings, lists
 and tables, list items with marks and indents, table cells in aligned columns,
 preformatted text as it is. Nothing is dropped as boilerplate.
 
-Null and empty pages, and pages without visible text, give empty text. Elements nested
-deeper than ``DEEPEST`` become children of the one at that depth, with all their text.
-Columns wider than ``WIDEST`` aren't padded. Repeated rows get equal results, an empty
+Null and empty pages, and pages without visible text, give empty text. Elements may nest to
+any depth. A cell that spans rows keeps its columns in all of them, its text is in the first;
+spans are bounded as in HTML, at 1,000 columns. Columns wider than ``WIDEST`` aren't padded. Repeated rows get equal results, an empty
 table gives no rows, further columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
+from collections.abc import Generator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -24,9 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faregauge.llm.common import by_batch, prepare
+from faregauge.llm.styles import Styles, on_screen
 
-DEEPEST = 150
 WIDEST = 40
+# Greatest spans in HTML.
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
 
 # Fixed sets of element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,61 +64,72 @@ _P_BOUNDS = frozenset("table td th li caption button object html body".split())
 _ENDS_P = BLOCKS - frozenset("html body li tr dt dd caption thead tbody tfoot option optgroup".split())
 
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_SIMPLE = re.compile(r"[.#]?[A-Za-z_][\w-]*")
+_LETTER = re.compile(r"[^\r\n]")
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children", "hidden")
+    """An element; ``never`` shown whatever styles say, else ``hidden`` and ``visible`` by them."""
+
+    __slots__ = ("tag", "attributes", "children", "never", "hidden", "visible")
 
     def __init__(self, tag: str, attributes: dict[str, str]):
         self.tag, self.attributes = tag, attributes
         self.children: list[Node | str] = []
-        style = attributes.get("style", "")
-        self.hidden = tag in HIDDEN or "hidden" in attributes or bool(style and _HIDES.search(style))
+        self.never = tag in HIDDEN
+        self.hidden = self.never or "hidden" in attributes or (tag == "dialog" and "open" not in attributes)
+        self.visible = True
 
 
 class Tree(HTMLParser):
-    """Builds the tree of a page and collects what its style sheets hide."""
+    """Builds the tree of a page and collects its style sheets.
+
+    The places of open elements are kept by name, so no tag has to search through them.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self.open = [self.root]
-        self.hides: set[str] = set()
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.styles = Styles()
+
+    def _last(self, tag: str) -> int:
+        places = self.places[tag]
+        return places[-1] if places else 0
+
+    def _end(self, at: int) -> None:
+        """End the open element at a place, and all inside it."""
+        while len(self.open) > at:
+            self.places[self.open.pop().tag].pop()
 
     def _close(self, names: frozenset[str], bounds: frozenset[str]) -> None:
         """End the outermost open element of ``names`` inside the nearest of ``bounds``."""
-        at = None
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in names:
-                at = i
-            elif self.open[i].tag in bounds:
-                break
-        if at is not None:
-            del self.open[at:]
+        bound = max((self._last(b) for b in bounds if b not in names), default=0)
+        found = [places[i] for n in names if (i := bisect_right(places := self.places[n], bound)) < len(places)]
+        if found:
+            self._end(min(found))
 
     def _in_head(self) -> bool:
         """Whether a head is open, and nothing in it that may hold other tags or text."""
-        return len(self.open) > 1 and self.open[1].tag == "head" and all(n.tag in ("head", "noscript") for n in self.open[1:])
-
-    def _end_head(self) -> None:
-        del self.open[1:]
+        if len(self.open) == 1 or self.open[1].tag != "head":
+            return False
+        return len(self.open) - 1 == len(self.places["head"]) + len(self.places["noscript"])
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "html":
             return
         if tag not in IN_HEAD and self._in_head():
-            self._end_head()
+            self._end(1)
         if tag in CLOSES:
             self._close(*CLOSES[tag])
         if tag in _ENDS_P:
             self._close(frozenset("p"), _P_BOUNDS)
         node = Node(tag, {k: v or "" for k, v in attrs})
-        node.hidden |= any(tag in names and any(n.tag == around for n in self.open) for around, names in UNDRAWN.items())
+        if any(tag in names and self.places[around] for around, names in UNDRAWN.items()):
+            node.never = node.hidden = True
         self.open[-1].children.append(node)
-        if tag not in VOID and len(self.open) < DEEPEST:
+        if tag not in VOID:
+            self.places[tag].append(len(self.open))
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -122,41 +138,44 @@ class Tree(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
             self.open[-1].children.append(Node("br", {}))
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                break
-            if tag not in BLOCKS and self.open[i].tag in ("td", "th", "table"):
-                break  # an inline end tag doesn't reach out of its cell
+        at = self._last(tag)
+        # An inline end tag doesn't reach out of its cell.
+        bound = 0 if tag in BLOCKS else max(map(self._last, ("td", "th", "table")))
+        if at and at >= bound:
+            self._end(at)
 
     def handle_data(self, data: str) -> None:
         if self.open[-1].tag == "style":
-            for selectors, body in _RULE.findall(data):
-                if _HIDES.search(body):
-                    self.hides |= {s.strip() for s in selectors.split(",") if _SIMPLE.fullmatch(s.strip())}
+            if on_screen(self.open[-1].attributes.get("media", "")):
+                self.styles.add(data)
         elif self._in_head() and data.strip(" \t\n\r\f"):
-            self._end_head()
+            self._end(1)
         self.open[-1].children.append(data)
 
 
-class Page:
-    """Renders a tree to lines; None in a list of lines asks for one blank line."""
+def unwound(step: Generator):
+    """Result of a generator that yields others and takes their results, without recursion."""
+    steps, result = [step], None
+    while steps:
+        try:
+            steps.append(steps[-1].send(result))
+            result = None
+        except StopIteration as end:
+            steps.pop()
+            result = end.value
+    return result
 
-    def __init__(self, hides: set[str]):
-        self._hides = hides
 
-    def _shown(self, node: Node) -> bool:
-        if node.hidden:
-            return False
-        if not self._hides:
-            return True
-        names = [node.tag, *("." + c for c in node.attributes.get("class", "").split()), "#" + node.attributes.get("id", "")]
-        return not any(n in self._hides for n in names)
+class Page:
+    """Renders a tree to lines; None in a list of lines asks for one blank line.
+
+    Methods that go into children are generators for ``unwound``.
+    """
 
-    def lines(self, node: Node, pre: bool = False) -> list[str | None]:
+    def lines(self, node: Node, pre: bool = False) -> Generator:
         out: list[str | None] = []
         run: list[str | None] = []
-        self._flow(node, out, run, pre)
+        yield self._flow(node, out, run, pre)
         self._end_line(out, run, pre)
         return out
 
@@ -175,19 +194,20 @@ class Page:
         if any(made):
             out += made if made[-1] else made[:-1]
 
-    def _flow(self, node: Node, out: list, run: list, pre: bool) -> None:
+    def _flow(self, node: Node, out: list, run: list, pre: bool) -> Generator:
         counter = int(start) if (start := node.attributes.get("start", "1")).isdigit() and len(start) < 10 else 1
         for child in node.children:
             if isinstance(child, str):
-                run.append(child)
+                # What is invisible takes its place.
+                run.append(child if node.visible else _LETTER.sub(" ", child))
                 continue
-            if not self._shown(child):
+            if child.hidden:
                 continue
             tag = child.tag
             if tag == "br":
                 run.append(None)
             elif tag == "wbr" or tag not in BLOCKS:
-                self._flow(child, out, run, pre)
+                yield self._flow(child, out, run, pre)
                 if tag in ("td", "th"):
                     run.append(" ")
             else:
@@ -201,64 +221,99 @@ class Page:
                         counter = int(value) if value.isdigit() and len(value) < 10 else counter
                         mark = f"{counter}. "
                         counter += 1
-                    out += _indented(_tidy(self.lines(child, pre)), mark)
+                    out += _indented(_tidy((yield self.lines(child, pre))), mark)
                 elif tag == "dd":
-                    out += _indented(_tidy(self.lines(child, pre)), "  ")
+                    out += _indented(_tidy((yield self.lines(child, pre))), "  ")
                 elif tag == "blockquote":
-                    out += _indented(_tidy(self.lines(child, pre)), "> ", "> ")
+                    out += _indented(_tidy((yield self.lines(child, pre))), "> ", "> ")
                 elif tag == "table":
-                    out += self._table(child, pre)
+                    out += yield self._table(child, pre)
                 elif tag == "hr":
-                    out.append("---")
+                    out += ["---"] if child.visible else []
                 elif tag == "pre":
-                    out += self.lines(child, True)
+                    out += yield self.lines(child, True)
                 else:
-                    self._flow(child, out, run, pre)
+                    yield self._flow(child, out, run, pre)
                     self._end_line(out, run, pre)
                 if tag in SPACED:
                     out.append(None)
 
-    def _rows(self, table: Node) -> tuple[list[Node], list[Node | str]]:
-        rows, rest = [], []
+    def _rows(self, table: Node) -> tuple[list[tuple[Node, int]], list[Node | str]]:
+        """Rows with the number of the row their group ends at, and all that is in none."""
+        rows: list[tuple[Node, int]] = []
+        rest: list[Node | str] = []
+        single: list[Node] = []
+
+        def end_group(group: list[Node]) -> None:
+            end = len(rows) + len(group)
+            rows.extend((r, end) for r in group)
+
         for child in table.children:
             if isinstance(child, str) or child.tag not in ("thead", "tbody", "tfoot", "tr"):
                 rest.append(child)
-            elif self._shown(child):
-                inner = [child] if child.tag == "tr" else child.children
-                rows += [r for r in inner if isinstance(r, Node) and r.tag == "tr" and self._shown(r)]
-                rest += [r for r in inner if child.tag != "tr" and (isinstance(r, str) or r.tag != "tr")]
+            elif child.hidden:
+                continue
+            elif child.tag == "tr":
+                single.append(child)
+            else:
+                end_group(single)
+                single = []
+                end_group([r for r in child.children if isinstance(r, Node) and r.tag == "tr" and not r.hidden])
+                rest += [r for r in child.children if isinstance(r, str) or r.tag != "tr"]
+        end_group(single)
         return rows, rest
 
-    def _table(self, table: Node, pre: bool) -> list[str | None]:
+    def _table(self, table: Node, pre: bool) -> Generator:
         """Text outside cells first, as browsers do, then the rows with columns aligned."""
         rows, rest = self._rows(table)
-        outside = Node("div", {})
-        outside.children = rest
-        out = self.lines(outside, pre)
-        grid: list[list[list[str]]] = []
-        for row in rows:
-            cells: list[list[str]] = []
-            stray = Node("td", {})
+        out = yield self.lines(_around(table, rest), pre)
+        grid: list[dict[int, list[str]]] = []
+        taken: dict[int, int] = {}  # column: first row below the cell that spans into it
+        for number, (row, end) in enumerate(rows):
+            cells: dict[int, list[str]] = {}
+            stray: list[Node | str] = []
+            column = 0
             for child in row.children:
-                if isinstance(child, Node) and child.tag in ("td", "th"):
-                    if self._shown(child):
-                        cells.append(_tidy(self.lines(child, pre)))
-                        span = child.attributes.get("colspan", "1")
-                        cells += [[]] * (min(int(span), 50) - 1 if span.isdigit() and len(span) < 5 else 0)
-                else:
-                    stray.children.append(child)
+                if isinstance(child, str) or child.tag not in ("td", "th"):
+                    stray.append(child)
+                elif not child.hidden:
+                    while taken.get(column, 0) > number:
+                        column += 1
+                    cells[column] = _tidy((yield self.lines(child, pre)))
+                    wide = max(_span(child, "colspan", MOST_COLUMNS), 1)
+                    high = _span(child, "rowspan", MOST_ROWS) or end - number
+                    if high > 1:
+                        taken |= dict.fromkeys(range(column, column + wide), min(number + high, end))
+                    column += wide
             grid.append(cells)
-            out += self.lines(stray, pre)
-        columns = max(map(len, grid), default=0)
-        widths = [max((len(line) for row in grid if c < len(row) for line in row[c]), default=0) for c in range(columns)]
-        widths = [w if w <= WIDEST else 0 for w in widths]
+            out += yield self.lines(_around(row, stray), pre)
+        widths: dict[int, int] = {}
         for cells in grid:
-            for i in range(max(map(len, cells), default=0)):
-                parts = [(cell[i] if i < len(cell) else "").ljust(widths[c]) for c, cell in enumerate(cells)]
-                out.append("  ".join(parts).rstrip())
+            for c, cell in cells.items():
+                widths[c] = max(widths.get(c, 0), *map(len, cell), 0)
+        # Columns that no cell starts in have no width.
+        columns = sorted(widths)
+        widths = {c: w if w <= WIDEST else 0 for c, w in widths.items()}
+        for cells in grid:
+            shown = [c for c in columns if c <= max(cells, default=-1)]
+            for i in range(max(map(len, cells.values()), default=0)):
+                texts = ((cells[c][i] if c in cells and i < len(cells[c]) else "").ljust(widths[c]) for c in shown)
+                out.append("  ".join(texts).rstrip())
         return out
 
 
+def _around(node: Node, children: list[Node | str]) -> Node:
+    """What is left of an element: some of its children, as visible as it is."""
+    part = Node("div", {})
+    part.children, part.visible = children, node.visible
+    return part
+
+
+def _span(cell: Node, name: str, most: int) -> int:
+    span = cell.attributes.get(name, "1").strip()
+    return min(int(span), most) if span.isascii() and span.isdigit() and len(span) < 19 else 1
+
+
 def _tidy(lines: list[str | None]) -> list[str]:
     """Lines with requested blanks merged, none at the ends."""
     out: list[str] = []
@@ -288,7 +343,8 @@ def page_text(html: str | None) -> str:
     tree = Tree()
     tree.feed(html or "")
     tree.close()
-    return "\n".join(_tidy(Page(tree.hides).lines(tree.root)))
+    tree.styles.apply(tree.root)
+    return "\n".join(_tidy(unwound(Page().lines(tree.root))))
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import html
 import re
+from random import Random
 
 from faregauge.llm.html_text import extracted, page_text
 
@@ -64,3 +65,83 @@ def test_all_visible_words_of_the_table(spark, make):
     odd = make([(1, None, "u"), (None, "<p>x", "u"), (1, "", "u")], "page_id long, html string, text string")
     assert sorted(map(str, (tuple(r) for r in extracted(odd).collect()))) == ["(1, '')", "(1, '')", "(None, 'x')"]
     assert extracted(odd.limit(0)).collect() == []
+
+
+def test_depth_has_no_limit():
+    for depth in (148, 152, 20_000):
+        nest = "<div>" * depth
+        assert page_text(nest + "<div hidden><p>secret</p></div>after") == "after"
+        assert page_text(nest + "<style>.x{color:red}</style><script>s</script>text") == "text"
+    assert page_text("<b>" * 5000 + "x<ul>" + "<li><ul>" * 300 + "<li>deep").split()[-1] == "deep"
+    assert page_text("<table><tr><td>" * 2000 + "cell") == "cell"
+    assert page_text("<p>" + "<div><p>a" * 3000).split() == ["a"] * 3000
+
+
+def test_media_and_the_order_of_rules():
+    assert page_text("<style>@media print {.x{display:none}}</style><p class=x>t") == "t"
+    assert page_text("<style media=print>.x{display:none}</style><p class=x>t") == "t"
+    assert page_text("<style>@media only screen, print {.x{display:none}} .y{color:red}</style><p class=x>t<p>u") == "u"
+    assert page_text("<style>@media (max-width:9px) {.x{display:none}}</style><p class=x>t") == "t"
+    assert page_text("<style>@media print{a{b:c} .x{display:none}} .y{display:none}</style><p class=x>t<p class=y>u") == "t"
+    assert page_text("<style>.x{display:none} .x{display:block}</style><p class=x>t") == "t"
+    assert page_text("<style>#i{display:block} .x{display:none}</style><p class=x id=i>t") == "t"
+    assert page_text("<style>.x{display:none !important} .x{display:block}</style><p class=x style='display:block'>t") == ""
+    assert page_text("<style>.x{display:none}</style><p class=x style='display:block'>t") == "t"
+    assert page_text("<style>/* .x{display:none} */ @import 'a.css'; .y{display:none}</style><p class=x>t<p class=y>u") == "t"
+    assert page_text("<style>.x{color:red;display:none;top:0}</style><p class=x>t") == ""
+
+
+def test_selectors():
+    sheet = "<style>div.ad{display:none} .a .b{display:none} ul > li.c{display:none} [data-k=v]{display:none} p:hover{display:none}</style>"
+    assert page_text(sheet + "<div class='ad x'>1</div><p class=ad>2</p>") == "2"
+    assert page_text(sheet + "<div class=a><p>3<i class=b>4</i></p></div><i class=b>5</i>") == "3\n\n5"
+    assert page_text(sheet + "<ul><li class=c>6<li>7<ol><li class=c>8</ol></ul>").split() == ["-", "7", "1.", "8"]
+    assert page_text(sheet + "<p data-k=v>9<p data-k=w>10") == "10"
+    assert page_text("<dialog>no</dialog><dialog open>yes</dialog>") == "yes"
+    many = "<style>.none div{display:none}</style>" + "<div>" * 20_000 + "shown"
+    assert page_text(many) == "shown"
+
+
+def test_visibility_is_inherited_and_may_return():
+    page = "<div style='visibility:hidden'>a<p>b<p style='visibility:visible'>c<hr></div>d"
+    assert page_text(page).split() == ["c", "d"]  # the rule ends the paragraph
+    assert page_text("x<span style='visibility:hidden'>y</span>z") == "x z"
+    assert page_text("<ul><li style='visibility:hidden'>a<li>b</ul>") == "- b"
+    assert page_text("<div style='display:none'><p style='display:block;visibility:visible'>a</div>b") == "b"
+
+
+def placed(rows):
+    """Columns of cells by trying all places in turn: (text, columns, rows) per cell."""
+    full, found = {}, {}
+    for r, row in enumerate(rows):
+        c = 0
+        for text, wide, high in row:
+            while (r, c) in full:
+                c += 1
+            found[text] = c
+            full |= {(i, j): text for i in range(r, min(r + high, len(rows))) for j in range(c, c + wide)}
+            c += wide
+    return found
+
+
+def test_cells_that_span_rows():
+    assert page_text("<table><tr><td rowspan=2>A<td>B<tr><td>C</table>").split("\n") == ["A  B", "   C"]
+    groups = "<table><tbody><tr><td rowspan=0>A<td>B<tr><td>C</tbody><tbody><tr><td>D<td>E</table>"
+    assert page_text(groups).split("\n") == ["A  B", "   C", "D  E"]
+    assert page_text("<table><tr><td colspan=9999999>A<td>B</table>") == "A  B"
+    random = Random(7)
+    for _ in range(200):
+        names = iter(range(10, 99))
+        rows = [
+            [(str(next(names)), random.randint(1, 3), random.randint(1, 3)) for _ in range(random.randint(1, 4))]
+            for _ in range(random.randint(1, 4))
+        ]
+        body = "".join(
+            "<tr>" + "".join(f"<td colspan={w} rowspan={h}>{t}" for t, w, h in row) for row in rows
+        )
+        columns = placed(rows)
+        order = sorted(set(columns.values()))
+        lines = page_text(f"<table>{body}</table>").split("\n")
+        for line, row in zip(lines, rows, strict=True):
+            for text, _, _ in row:
+                assert line[order.index(columns[text]) * 4 :].startswith(text)
