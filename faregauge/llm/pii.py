@@ -5,13 +5,14 @@ loose patterns propose further spans, which may overlap: other ways to write the
 kinds. Boosted trees score a candidate by its format and its surroundings, and those above
 the threshold of their kind are added, best first, where they touch nothing found before.
 
-The trees learn from the corpus without hand labels. Spans of the base rules in a bounded
-sample are rewritten in other formats, in place, and serve as positives next to the
+The trees learn from the whole corpus without hand labels. Spans of the base rules in all
+texts are rewritten in other formats, in place, and serve as positives next to the
 originals. Candidates that touch no base span are negatives only if they can't be what they
 look like: those in one of the other formats that pass the checks of their kind (Luhn, octet
 range, number of digits) may be real, and teach nothing. The threshold of a kind is the
-lowest that keeps the wanted precision on the part of the sample not used for growing; a
-kind that reaches it nowhere adds nothing.
+lowest that keeps the wanted precision on the third of the texts not used for growing; a
+kind that reaches it nowhere adds nothing. Tasks turn texts into vectors of small integers
+and count equal ones, and all that is learned are sums over these counts.
 
 Offsets are code points, the end exclusive. Null text counts as empty: no spans, and
 ``redacted`` keeps it null. Whole texts are searched. Repeated rows get equal results; an
@@ -23,8 +24,11 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -32,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faregauge.llm.boosting import BoostedTrees
-from faregauge.llm.common import by_batch, prepare, text_or_empty
+from faregauge.llm.boosting import BoostedTrees, matrix
+from faregauge.llm.common import by_batch, prepare, stored, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -63,13 +67,16 @@ _HINTS = (
     re.compile(r"(?i)version|release|page|vol|token|key|hash|id\b"),
 )
 AROUND = 24
+# Every e-mail candidate holds one of these.
+_AT = ("@", "(at)", "[at]", "{at}", " at ")
+# Thresholds are multiples of one part in so many.
+SCORES = 1 << 16
 
 
 @dataclass(frozen=True)
 class PiiRule:
-    """Texts of the training sample and the precision that an added kind must reach."""
+    """The precision that an added kind must reach; the seed of formats and of the unseen third."""
 
-    documents: int = 1500
     precision: float = 0.98
     seed: int = 11
 
@@ -113,14 +120,15 @@ def base_spans(text: str) -> list[Span]:
 def candidates(text: str) -> list[Span]:
     """Overlapping proposals of all generators."""
     found = []
+    lower = text.lower()
     for kind in KINDS:
-        if kind == "email" and "@" not in text and "at" not in text.lower():
+        if kind == "email" and not any(at in lower for at in _AT):
             continue
         found += [(kind, m.start(), m.end()) for m in CANDIDATES[kind].finditer(text)]
     return found
 
 
-def features(text: str, span: Span) -> list[float]:
+def features(text: str, span: Span) -> list[int]:
     """Format and surroundings of a candidate; not whether a base rule takes it."""
     kind, start, end = span
     body, before, after = text[start:end], text[max(0, start - AROUND) : start], text[end : end + AROUND]
@@ -128,7 +136,7 @@ def features(text: str, span: Span) -> list[float]:
     groups = [g for g in re.split(r"[^0-9]+", body) if g]
     nearby = before + " " + after
     return [
-        *[float(kind == k) for k in KINDS],
+        *[int(kind == k) for k in KINDS],
         len(body),
         len(number),
         len(groups),
@@ -140,21 +148,39 @@ def features(text: str, span: Span) -> list[float]:
         body.count("."),
         body.count("(") + body.count(")"),
         body.count("[") + body.count("{"),
-        float("@" in body or "at" in body.lower()),
-        float(body[:1] == "+" or before[-1:] == "+"),
-        float(bool(number) and luhn(number)),
-        float(len(groups) == 4 and all(int(g[:9]) <= 255 for g in groups)),
-        float(before[-1:].isspace() or not before),
-        float(after[:1].isspace() or not after),
-        float(before[-1:].isalnum()),
-        float(after[:1].isalnum()),
+        int("@" in body or "at" in body.lower()),
+        int(body[:1] == "+" or before[-1:] == "+"),
+        int(bool(number) and luhn(number)),
+        int(len(groups) == 4 and all(int(g[:9]) <= 255 for g in groups)),
+        int(before[-1:].isspace() or not before),
+        int(after[:1].isspace() or not after),
+        int(before[-1:].isalnum()),
+        int(after[:1].isalnum()),
         sum(c.isdigit() for c in nearby),
-        *[float(bool(h.search(nearby))) for h in _HINTS],
+        *[int(bool(h.search(nearby))) for h in _HINTS],
     ]
 
 
-def _apart(span: Span, others: list[Span]) -> bool:
-    return all(span[2] <= s or e <= span[1] for _, s, e in others)
+class _Spans:
+    """Spans by start, each with the last end up to it: what touches a span takes a search."""
+
+    def __init__(self, spans: list[Span]):
+        self._starts = sorted(s[1] for s in spans)
+        self._ends = list(accumulate((e for _, e in sorted(s[1:] for s in spans)), max))
+        self._by_kind = {k: sorted(s[1:] for s in spans if s[0] == k) for k in KINDS}
+
+    def apart(self, span: Span) -> bool:
+        before = bisect_left(self._starts, span[2])
+        return not before or self._ends[before - 1] <= span[1]
+
+    def near(self, span: Span) -> bool:
+        """Whether a span of the same kind touches this one and has almost the same ends."""
+        kind, start, end = span
+        own = self._by_kind[kind]
+        for s, e in own[bisect_left(own, (start - 4, -1)) : bisect_left(own, (start + 5, -1))]:
+            if start <= e and s <= end and abs(e - end) <= 2:
+                return True
+        return False
 
 
 def rewritten(kind: str, body: str, rng: random.Random) -> str:
@@ -190,22 +216,23 @@ def plausible(kind: str, body: str) -> bool:
     return 7 <= len(number) <= 15 and national and not _DATE.search(body)
 
 
-def training_rows(text: str, rule: PiiRule) -> tuple[list[list[float]], list[int], list[str]]:
+def training_rows(text: str, rule: PiiRule) -> tuple[list[list[int]], list[int], list[str]]:
     """Features, labels and kinds of candidates of a text and of its rewritten forms."""
     rng = random.Random(f"{rule.seed}|{text}")
     x, y, kinds = [], [], []
 
     def take(text: str, truth: list[Span]) -> None:
+        known = _Spans(truth)
         for span in candidates(text):
-            same = any(k == span[0] and span[1] <= e and s <= span[2] and abs(s - span[1]) <= 4 and abs(e - span[2]) <= 2 for k, s, e in truth)
-            if same or (_apart(span, truth) and not plausible(span[0], text[span[1] : span[2]])):
+            same = known.near(span)
+            if same or (known.apart(span) and not plausible(span[0], text[span[1] : span[2]])):
                 x.append(features(text, span))
                 y.append(int(same))
                 kinds.append(span[0])
 
     spans = base_spans(text)
     take(text, spans)
-    for kind, start, end in spans[:8]:
+    for kind, start, end in spans:
         body = rewritten(kind, text[start:end], rng)
         near = text[max(0, start - 80) : start], text[end : end + 80]
         changed = near[0] + body + near[1]
@@ -222,62 +249,80 @@ class PiiModel:
     thresholds: dict[str, float]
 
 
-def fit(x: np.ndarray, y: np.ndarray, kinds: list[str], rule: PiiRule | None = None) -> PiiModel:
-    """Trees from two thirds of the candidates, thresholds from the other."""
+def training_table(docs: DataFrame, rule: PiiRule | None = None) -> DataFrame:
+    """(kind, unseen, x, n, hits) of the candidates of all texts, counted by their features.
+
+    A text is unseen by the trees, in all its copies, or seen.
+    """
     rule = rule or PiiRule()
+    prepare(docs.sparkSession)
+    unseen = F.pmod(F.xxhash64("text", F.lit(rule.seed)), F.lit(3)) == 2
+    texts = docs.select(text_or_empty().alias("text")).withColumn("unseen", unseen)
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        counts, hits = Counter(), Counter()
+        for text, late in zip(batch.column("text").to_pylist(), batch.column("unseen").to_pylist(), strict=True):
+            for x, y, kind in zip(*training_rows(text, rule), strict=True):
+                counts[kind, late, tuple(x)] += 1
+                hits[kind, late, tuple(x)] += y
+        kinds, late, x = zip(*counts, strict=True) if counts else ((), (), ())
+        types = (pa.string(), pa.bool_(), pa.list_(pa.int32()), pa.int64(), pa.int64())
+        columns = (kinds, late, x, [*counts.values()], [hits[c] for c in counts])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["kind", "unseen", "x", "n", "hits"])
+
+    rows = by_batch(texts, lambda: step, "kind string, unseen boolean, x array<int>, n long, hits long")
+    return rows.groupBy("kind", "unseen", "x").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+
+
+def lowest_thresholds(rows: DataFrame, trees: BoostedTrees, rule: PiiRule) -> dict[str, float]:
+    """Per kind the least score from 0.5 on above which the wanted share of ``rows`` is right."""
+
+    def scored(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = np.floor(trees.score(matrix(batch.column("x"))) * SCORES).astype(np.int64) if len(batch) else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([*batch.select(["kind", "n", "hits"]).columns, pa.array(at)], ["kind", "n", "hits", "at"])
+
+    counted = by_batch(rows, lambda: scored, "kind string, n long, hits long, at long").where(F.col("at") >= SCORES // 2)
+    steps = counted.groupBy("kind", "at").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).collect()
     thresholds = dict.fromkeys(KINDS, 2.0)
-    if len(y) < 50 or len(set(y.tolist())) < 2:
-        return PiiModel(BoostedTrees(), thresholds)
-    grow = np.arange(len(y)) % 3 != 2
-    trees = BoostedTrees().fit(x[grow], y[grow])
-    rest, scores = ~grow, trees.score(x)
     for kind in KINDS:
-        chosen = rest & (np.array(kinds) == kind)
-        order = np.argsort(-scores[chosen], kind="stable")
-        hits = y[chosen][order]
-        good = np.flatnonzero(np.cumsum(hits) >= rule.precision * np.arange(1, len(hits) + 1))
-        if len(good) and hits[: good[-1] + 1].sum() >= 5:
-            thresholds[kind] = max(0.5, float(scores[chosen][order][good[-1]]))
-    return PiiModel(trees, thresholds)
+        n = hits = 0
+        for r in sorted((r for r in steps if r["kind"] == kind), key=lambda r: -r["at"]):
+            n, hits = n + r["n"], hits + r["hits"]
+            if hits >= 5 and hits >= rule.precision * n:
+                thresholds[kind] = r["at"] / SCORES
+    return thresholds
 
 
 def trained(docs: DataFrame, rule: PiiRule | None = None) -> PiiModel:
-    """The model from a bounded sample of texts that hold digits in groups or at signs.
-
-    Texts are drawn by a hash of their content, so the sample doesn't depend on the cluster.
-    They are searched whole, in tasks; the driver gets the features of the candidates.
-    """
+    """The model from all texts: trees from two thirds of them, thresholds from the other."""
     rule = rule or PiiRule()
-    spark = prepare(docs.sparkSession)
-    likely = docs.select("text", F.xxhash64("text", F.lit(rule.seed)).alias("h")).where(F.col("text").rlike(r"@|[0-9]{3}[ .-]?[0-9]"))
-    drawn = likely.orderBy("h").limit(rule.documents).repartition(spark.sparkContext.defaultParallelism)
+    rows = stored(training_table(docs, rule), "candidates")
+    total, hits = (int(v or 0) for v in rows.agg(F.sum("n"), F.sum("hits")).first())
+    if total < 50 or not 0 < hits < total:
+        return PiiModel(BoostedTrees(), dict.fromkeys(KINDS, 2.0))
+    trees = BoostedTrees().fit(rows.where("NOT unseen"))
+    return PiiModel(trees, lowest_thresholds(rows.where("unseen"), trees, rule))
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = [
-            (h, i, list(map(float, x)), y, kind)
-            for h, text in zip(batch.column("h").to_pylist(), batch.column("text").to_pylist(), strict=True)
-            for i, (x, y, kind) in enumerate(zip(*training_rows(text, rule), strict=True))
-        ]
-        columns = zip(*made, strict=True) if made else ((),) * 5
-        types = (pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.int32(), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["h", "i", "x", "y", "kind"])
 
-    rows = by_batch(drawn, lambda: step, "h long, i long, x array<double>, y int, kind string").toPandas()
-    rows = rows.sort_values(["h", "i"], kind="stable")
-    x = np.array(rows["x"].tolist(), float)
-    return fit(x, rows["y"].to_numpy(int), rows["kind"].tolist(), rule)
+def _fits(span: Span, added: list[tuple[int, int]]) -> bool:
+    """Whether a span touches none of the sorted spans, which touch none of each other."""
+    place = bisect_left(added, (span[2], -1))
+    return not place or added[place - 1][1] <= span[1]
 
 
 def found_spans(texts: list[str], model: PiiModel) -> list[tuple[list[Span], list[Span]]]:
     """(base spans, all spans) per text; candidates of all texts are scored at once."""
     base = [base_spans(t) for t in texts]
-    proposed = [(i, s) for i, t in enumerate(texts) for s in candidates(t) if _apart(s, base[i])]
+    taken = [_Spans(b) for b in base]
+    proposed = [(i, s) for i, t in enumerate(texts) for s in candidates(t) if taken[i].apart(s)]
     all_spans = [list(b) for b in base]
+    added: list[list[tuple[int, int]]] = [[] for _ in texts]
     if proposed and model.trees.grown:
         scores = model.trees.score(np.array([features(texts[i], s) for i, s in proposed]))
         for at in np.argsort(-scores, kind="stable"):
             i, span = proposed[at]
-            if scores[at] >= model.thresholds[span[0]] and _apart(span, all_spans[i]):
+            if scores[at] >= model.thresholds[span[0]] and _fits(span, added[i]):
+                insort(added[i], span[1:])
                 all_spans[i].append(span)
     order = {k: n for n, k in enumerate(KINDS)}
     return [(b, sorted(s, key=lambda x: (order[x[0]], x[1]))) for b, s in zip(base, all_spans, strict=True)]

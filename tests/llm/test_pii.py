@@ -4,7 +4,9 @@ import hashlib
 import random
 import re
 
-from faregauge.llm import pii
+import numpy as np
+
+from faregauge.llm import boosting, pii
 
 SF = "/root/testdata/sf0.1"
 
@@ -83,3 +85,55 @@ def test_odd_rows(make):
     back = pii.redacted(docs, model)
     assert back.schema == docs.schema and {r.text for r in back.where("doc_id = 1 or doc_id is null").collect()} == {None, "[EMAIL]"}
     assert pii.personal_data(docs.limit(0), pii.trained(docs.limit(0))).collect() == []
+
+
+def test_every_text_and_span_is_learned_from(make):
+    """No prefilter, no limit of texts, no limit of spans in a text: sums over all rows are the plain ones."""
+    rng = random.Random(9)
+    n = lambda k: rng.randint(1, k)
+    ip = lambda: f"{n(9)}.{n(9)}.{n(9)}.{n(9)}"
+    texts = [f"the way of {ip()} and stone {n(40)} river" for _ in range(1700)]
+    texts += [f"the way of {n(9)}99.888.777.666 and stone" for _ in range(300)] + [" house ".join(ip() for _ in range(30)), None, ""]
+    docs = make([(t,) for t in texts], "text string")
+    model = pii.trained(docs)
+    ((_, spans),) = pii.found_spans(["the way of 7[.]2[.]5[.]4 and stone"], model)
+    assert [s[0] for s in spans] == ["ip"]
+    plain_rows = [r for t in texts for r in zip(*pii.training_rows(t or "", pii.PiiRule()))]
+    rows = pii.training_table(docs).collect()
+    assert sum(r.n for r in rows) == len(plain_rows) >= 2 * 1730 + 300
+    assert sum(r.hits for r in rows) == sum(y for _, y, _ in plain_rows)
+    assert {(r.kind, tuple(r.x)) for r in rows} == {(k, tuple(x)) for x, _, k in plain_rows}
+
+
+def test_trees_from_counted_vectors(make):
+    """Cuts and leaves as on the repeated rows, whatever the partitioning."""
+    rng = random.Random(4)
+    rows = [([rng.randint(0, 30), rng.randint(0, 3)], rng.randint(1, 5)) for _ in range(400)]
+    rows = [(x, n, n if x[0] > 11 and x[1] < 2 else 0) for x, n in rows]
+    frame = make(rows, "x array<int>, n long, hits long")
+    trees = boosting.BoostedTrees(trees=4).fit(frame.repartition(7))
+    again = boosting.BoostedTrees(trees=4).fit(frame.coalesce(1))
+    assert all(np.array_equal(a, b) for t, u in zip(trees.grown, again.grown) for a, b in zip(t, u))
+    x = np.array([x for x, _, _ in rows])
+    assert np.array_equal(trees.score(x) >= 0.5, (x[:, 0] > 11) & (x[:, 1] < 2))
+    whole = np.repeat(x[:, 0], [n for _, n, _ in rows])
+    assert np.allclose(trees._cuts(frame)[0], np.unique(np.quantile(whole, np.linspace(0, 1, 17)))[:-1])
+    # The first leaves: sums of slopes over all rows that reach them.
+    feature, threshold, value = trees.grown[0]
+    share = sum(h for _, _, h in rows) / sum(n for _, n, _ in rows)
+    leaf = trees._reached(x, trees.grown[0], 3) - 7
+    for place in set(leaf.tolist()):
+        here = [r for r, at in zip(rows, leaf) if at == place]
+        top, low = sum(h - n * share for _, n, h in here), sum(n * share * (1 - share) for _, n, _ in here)
+        assert abs(value[place] - 0.3 * top / (low + 1)) < 1e-5
+
+
+def test_many_spans_in_a_text():
+    spans = [("ip", 10 * i, 10 * i + 7) for i in range(60)] + [("card", 95, 120), ("phone", 5, 33)]
+    known = pii._Spans(spans)
+    for start in range(0, 640):
+        for size in (1, 3, 7, 25):
+            asked = ("ip", start, start + size)
+            assert known.apart(asked) == all(asked[2] <= s or e <= start for _, s, e in spans)
+            near = any(k == "ip" and start <= e and s <= asked[2] and abs(s - start) <= 4 and abs(e - asked[2]) <= 2 for k, s, e in spans)
+            assert known.near(asked) == near
