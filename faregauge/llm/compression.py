@@ -116,8 +116,8 @@ def trained_content(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def sizer(content: bytes, least_match: int, level: int = 3) -> Callable[[bytes], int]:
-    """Compressed size of a window with a raw-content dictionary."""
+def packer(content: bytes, least_match: int, level: int = 3) -> Callable[[bytes], bytes]:
+    """Compression of a window with a raw-content dictionary."""
     parameters = zstandard.ZstdCompressionParameters.from_level(
         level,
         strategy=zstandard.STRATEGY_BTLAZY2,
@@ -129,9 +129,13 @@ def sizer(content: bytes, least_match: int, level: int = 3) -> Callable[[bytes],
     if len(content) >= 8:
         raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         raw.precompute_compress(compression_params=parameters)
-        run = zstandard.ZstdCompressor(dict_data=raw, compression_params=parameters).compress
-    else:
-        run = zstandard.ZstdCompressor(compression_params=parameters).compress
+        return zstandard.ZstdCompressor(dict_data=raw, compression_params=parameters).compress
+    return zstandard.ZstdCompressor(compression_params=parameters).compress
+
+
+def sizer(content: bytes, least_match: int, level: int = 3) -> Callable[[bytes], int]:
+    """Compressed size of a window with a raw-content dictionary."""
+    run = packer(content, least_match, level)
     return lambda window: len(run(window))
 
 

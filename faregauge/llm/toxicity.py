@@ -35,12 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faregauge.llm.common import by_batch, in_class, prepare, text_or_empty
-from faregauge.llm.compression import Calibration, Sample, SampleBounds, calibrated, labelled_sample, sizer, trained_content
+from faregauge.llm.compression import Calibration, Sample, SampleBounds, calibrated, labelled_sample, packer, trained_content
 
 HELD_OUT = (0, 5)
 # Windows whose size difference a worker remembers.
 REMEMBERED = 300_000
 _WORD = re.compile(r"\w+")
+_QUANTILES = (0.25, 0.5, 0.75, 0.9)
 
 
 @dataclass(frozen=True)
@@ -188,13 +189,13 @@ class _Gains(dict):
 
     def __init__(self, ordinary: bytes, toxic: bytes, least_match: int):
         super().__init__()
-        self._ordinary, self._toxic = (sizer(c, least_match) for c in (ordinary, toxic))
+        self._ordinary, self._toxic = (packer(c, least_match) for c in (ordinary, toxic))
 
     def __missing__(self, window: str) -> int:
         if len(self) > REMEMBERED:
             self.clear()
         content = wide(f" {window} ")
-        self[window] = gain = self._ordinary(content) - self._toxic(content)
+        self[window] = gain = len(self._ordinary(content)) - len(self._toxic(content))
         return gain
 
 
@@ -202,18 +203,25 @@ class _Features:
     def __init__(self, ordinary: bytes, toxic: bytes, ordinary_text: bytes, toxic_text: bytes, rule: ToxicityRule):
         self._rule = rule
         self._gains = _Gains(ordinary, toxic, rule.least_match)
-        self._sizers = [sizer(c, rule.text_match) for c in (ordinary_text, toxic_text)]
+        self._packers = [packer(c, rule.text_match) for c in (ordinary_text, toxic_text)]
+        self._steps, self._text_steps = np.array(rule.steps), np.array(rule.text_steps)
 
     def __call__(self, text: str) -> list[float]:
-        gains = np.array([self._gains[w] for w in windows(text, self._rule.window)] or [0])
-        above = [(gains >= s).sum() for s in self._rule.steps]
-        shares = [np.sqrt(a / len(gains)) for a in above]
+        rule = self._rule
+        gains = np.array([*map(self._gains.__getitem__, windows(text, rule.window))] or [0])
+        above = _at_least(gains, self._steps)
+        shares = np.sqrt(above / len(gains))
         of_words = [min(gains.max(), 30), np.log1p(len(gains)), *np.log1p(above), *shares]
-        plain, toxic = self._sizers
-        away = np.array([plain(w) - toxic(w) for w in text_windows(text, self._rule.text_window)] or [0])
-        counts = [np.log1p((away >= s).sum()) for s in self._rule.text_steps]
-        spread = [np.quantile(away, q) for q in (0.25, 0.5, 0.75, 0.9)]
-        return [*of_words, min(away.max(), 60), away.mean(), *spread, *counts]
+        cut = text_windows(text, rule.text_window)
+        plain, toxic = (np.array([*map(len, map(pack, cut))] or [0]) for pack in self._packers)
+        away = plain - toxic
+        counts = np.log1p(_at_least(away, self._text_steps))
+        return [*of_words, min(away.max(), 60), away.mean(), *np.quantile(away, _QUANTILES), *counts]
+
+
+def _at_least(values: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """How many values reach each step."""
+    return len(values) - np.searchsorted(np.sort(values), steps)
 
 
 def fit(sample: Sample, rule: ToxicityRule | None = None) -> ToxicityModel:

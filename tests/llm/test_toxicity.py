@@ -1,9 +1,13 @@
 """Toxicity scores: held-out accuracy, pure functions of the text, odd rows."""
 
+import cProfile
+import random
+
 import numpy as np
 
 from faregauge.llm import toxicity
 from faregauge.llm.common import crc_class
+from faregauge.llm.compression import sizer
 
 SF = "/root/testdata/sf0.1"
 
@@ -72,3 +76,26 @@ def test_phrases_and_unspaced_terms(make):
         got = {r.doc_id: r for r in toxicity.toxicity(docs, toxicity.trained(docs, labels)).collect()}
         held = [r for r in got.values() if r.held_out]
         assert sum(r.predicted == r.doc_id % 2 for r in held) > 0.85 * len(held), telling
+
+
+def test_features_as_stated_at_few_calls():
+    """Counts, shares and quantiles of the size differences; windows cost no Python call each."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(300)]
+    ordinary, toxic = (toxicity.wide(" ".join(words[a : a + 60])) for a in (0, 40))
+    rule = toxicity.ToxicityRule()
+    pieces = [" ".join(words[a : a + 150]).encode() for a in (0, 100)]
+    features = toxicity._Features(ordinary, toxic, *pieces, rule)
+    word_sizes = [sizer(c, rule.least_match) for c in (ordinary, toxic)]
+    text_sizes = [sizer(c, rule.text_match) for c in pieces]
+    for text in ["", "one", " ".join(rng.choices(words, k=3000))]:
+        gains = np.array([word_sizes[0](b) - word_sizes[1](b) for b in (toxicity.wide(f" {w} ") for w in toxicity.words_of(text))] or [0])
+        above = [sum(g >= s for g in gains) for s in rule.steps]
+        away = np.array([text_sizes[0](w) - text_sizes[1](w) for w in toxicity.text_windows(text, rule.text_window)] or [0])
+        plain = [min(gains.max(), 30), np.log1p(len(gains)), *np.log1p(above), *[np.sqrt(a / len(gains)) for a in above]]
+        plain += [min(away.max(), 60), away.mean(), *[np.quantile(away, q) for q in (0.25, 0.5, 0.75, 0.9)]]
+        plain += [np.log1p(sum(d >= s for d in away)) for s in rule.text_steps]
+        assert np.allclose(features(text), plain, rtol=1e-12, atol=0)
+    profile = cProfile.Profile()
+    profile.runcall(features, text)
+    assert sum(entry.callcount for entry in profile.getstats()) < len(toxicity.text_windows(text, rule.text_window))
