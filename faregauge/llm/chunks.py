@@ -49,20 +49,19 @@ class ChunkEncoder:
         if self._held > REMEMBERED_BYTES // 2:
             self._known, self._older, self._held = {}, self._known, 0
         known, older = self._known, self._older
-        found = [known.get(k) for k in keys]
-        missing = []
-        for i in [i for i, ids in enumerate(found) if ids is None]:
-            key = keys[i]
-            if (ids := older.get(key)) is None:
-                missing.append(i)
-            else:
-                found[i] = known[key] = ids
-                self._held += ENTRY_BYTES + len(key) + len(ids)
-        if missing:
-            fresh = [keys[i] for i in missing]
-            for i, key, ids in zip(missing, fresh, self._chunks(fresh), strict=True):
-                found[i] = known[key] = ids
-                self._held += ENTRY_BYTES + len(key) + len(ids)
+        found = list(map(known.get, keys))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for known_to in (lambda names: list(map(older.get, names)), self._chunks):
+            if not missing:
+                break
+            names = [keys[i] for i in missing]
+            several = known_to(names)
+            new = {name: ids for name, ids in zip(names, several, strict=True) if ids is not None}
+            known.update(new)
+            self._held += ENTRY_BYTES * len(new) + sum(map(len, new)) + sum(map(len, new.values()))
+            for i, ids in zip(missing, several, strict=True):
+                found[i] = ids
+            missing = [i for i in missing if found[i] is None]
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +81,8 @@ class ChunkEncoder:
         starts = chunks.filter(pa.array(first)).dictionary_encode()
         codes[~first] = later.indices.to_numpy()
         codes[first] = starts.indices.to_numpy() + len(later.dictionary)
-        keys = [" " + k for k in later.dictionary.to_pylist()] + starts.dictionary.to_pylist()
+        spaced = pc.binary_join_element_wise("", later.dictionary, " ")
+        keys = _strings(spaced) + _strings(starts.dictionary)
         ids = self._ids_of(keys)
         if whole.any():
             places = np.flatnonzero(whole)
@@ -91,6 +91,11 @@ class ChunkEncoder:
         return _laid_out(codes, ids, bounds)
 
 
+def _strings(values: pa.Array) -> list[str]:
+    """``to_pylist`` without a scalar object per value."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 def _laid_out(codes: np.ndarray, ids: list[bytes], bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     pool = np.frombuffer(b"".join(ids), "<u4")
     sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4

@@ -19,6 +19,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import public_tokenizers
@@ -58,7 +59,8 @@ def library_encoder(path: str) -> ChunkEncoder:
     def encode_chunks(chunks: list[str]) -> list[bytes]:
         """Chunks with a space in front are encoded many at a time, as one text: exactly
         the tokens that start with a space start a chunk."""
-        later = [c for c in chunks if c[:1] == " " and len(c) > 1]
+        spaces = [c[:1] == " " and len(c) > 1 for c in chunks]
+        later = list(compress(chunks, spaces))
         joined = ["".join(later[i : i + JOINED]) for i in range(0, len(later), JOINED)]
         parts = [np.frombuffer(ids, "<u4") for ids in encode(joined)]
         ids = np.concatenate(parts) if parts else np.zeros(0, "<u4")
@@ -66,9 +68,11 @@ def library_encoder(path: str) -> ChunkEncoder:
         if len(starts) != len(later) + 1:
             raise ValueError("the vocabulary doesn't start a token at every space")
         whole = ids.tobytes()
-        found = iter([whole[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)])
-        others = iter(encode([c for c in chunks if c[:1] != " " or len(c) == 1]))
-        return [next(found) if c[:1] == " " and len(c) > 1 else next(others) for c in chunks]
+        found = list(map(whole.__getitem__, map(slice, starts[:-1], starts[1:])))
+        if len(later) == len(chunks):
+            return found
+        found, others = iter(found), iter(encode([c for c, space in zip(chunks, spaces, strict=True) if not space]))
+        return [next(found) if space else next(others) for space in spaces]
 
     return ChunkEncoder(encode_chunks, encode, special)
 

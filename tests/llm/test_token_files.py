@@ -1,13 +1,16 @@
 """Files of ids: order, starts, coding, and the library's own ids."""
 
+import cProfile
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
-from faregauge.llm import token_files
+from faregauge.llm import chunks, token_files
 from faregauge.llm.common import scratch
 
 SF = "/root/testdata/sf0.001"
@@ -55,3 +58,24 @@ def test_odd_rows(spark, make):
     path = scratch(spark, "ids")
     token_files.write_tokens(docs.limit(0), path)
     assert token_files.token_digests(token_files.read_tokens(spark, path)).collect() == []
+
+
+def test_chunks_cost_few_calls_and_survive_small_memory(monkeypatch):
+    """Ids as the library gives them, however little is remembered, at a few Python calls per chunk."""
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdeé,.", k=6)) for _ in range(500)) for _ in range(8)]
+    texts += ["", " two  spaces", "<|endoftext|> x", "a\tb c ", *texts[:2]]
+    library = Tokenizer.from_file(token_files.BYTE_BPE)
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    token_files.library_encoder.cache_clear()
+    encoder = token_files.library_encoder(token_files.BYTE_BPE)
+    profile = cProfile.Profile()
+    ids, bounds = profile.runcall(encoder.encode, pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == wanted
+    calls = sum(entry.callcount for entry in profile.getstats())
+    assert calls < 5 * len({c for t in texts for c in t.split(" ")})
+    monkeypatch.setattr(chunks, "REMEMBERED_BYTES", 100_000)
+    for i in [*range(len(texts)), *range(len(texts))]:
+        ids, _ = encoder.encode(pa.array(texts[i : i + 1]))
+        assert ids.tolist() == wanted[i]
+    token_files.library_encoder.cache_clear()
