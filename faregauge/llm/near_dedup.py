@@ -21,8 +21,9 @@ first counts equal bytes; only texts that agree as often as similar texts do, bu
 pair in a million at the limit itself, are read, moved to the comparison and cut into
 shingles. What is returned as similar has always been verified on the texts.
 
-Classes. Texts with the same words are one text from the start, whatever their number;
-only one of them gets buckets. Links are joined to classes by alternating large-star and
+Classes. Texts with the same words are one text from the start, whatever their number:
+a task signs the first of them it meets, and a bucket counts what several tasks signed once.
+Links are joined to classes by alternating large-star and
 small-star steps on tables.
 
 Null text counts as empty; all texts without words are one class. Rows may repeat, doc_ids
@@ -41,13 +42,16 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faregauge.llm.common import anchored, by_batch, prepare, stored, text_or_empty
 from faregauge.llm.shingles import WORDS, mixed, runs, shingle_bags
 
 ROW = "_near_row"
+EMPTY = xxhash.xxh3_128_digest(b"")
+# Digests of signed texts that a task remembers.
+REMEMBERED = 100_000
 
 
 @dataclass(frozen=True)
@@ -146,26 +150,39 @@ def sketches(times: np.ndarray) -> np.ndarray:
 
 
 def _sign_batch(rule: NearRule):
+    seen: set[bytes] = {EMPTY}
+
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column("text")
-        copies = [xxhash.xxh3_128_digest(b" ".join(t.encode().split())) for t in texts.to_pylist()]
-        sizes, keys, bytes_ = [], [], []
+        words = [b" ".join(t.encode().split()) for t in batch.column("text").to_pylist()]
+        copies = [xxhash.xxh3_128_digest(w) for w in words]
+        if len(seen) > REMEMBERED:
+            seen.clear()
+            seen.add(EMPTY)
+        new = np.zeros(len(copies), bool)
+        for i, copy in enumerate(copies):
+            new[i] = copy not in seen
+            seen.add(copy)
+        texts = batch.column("text").filter(pa.array(new))
+        sizes = np.zeros(len(copies), np.int64)
+        found, keys, bytes_ = [], [], []
         for start, stop in runs(texts):
             text, shingle, weight = shingle_bags(texts.slice(start, stop - start), rule.words)
             times = signatures(text, shingle, weight, stop - start, rule.size)
-            sizes.append(np.bincount(text, weight, stop - start).astype(np.int64))
+            found.append(np.bincount(text, weight, stop - start).astype(np.int64))
             keys.append(band_keys(times, rule))
             bytes_ += [row.tobytes() for row in sketches(times)]
+        sizes[new] = np.concatenate(found) if found else 0
         flat = pa.array(np.concatenate(keys).reshape(-1) if keys else np.zeros(0, np.int64))
-        bounds = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * rule.bands)
+        bounds = pa.array(np.concatenate([[0], np.cumsum(new)]).astype(np.int32) * rule.bands)
+        sketch = iter(bytes_)
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(ROW),
                 batch.column("doc_id"),
                 pa.array(copies, pa.binary()),
-                pa.array(np.concatenate(sizes) if sizes else np.zeros(0, np.int64)),
+                pa.array(sizes),
                 pa.ListArray.from_arrays(bounds, flat),
-                pa.array(bytes_, pa.binary()),
+                pa.array([next(sketch) if own else None for own in new], pa.binary()),
             ],
             [ROW, "doc_id", "copy", "size", "bands", "sketch"],
         )
@@ -179,12 +196,29 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def signed(docs: DataFrame, rule: NearRule) -> DataFrame:
-    """(row, doc_id, copy, size, bands, sketch): digest of the words, shingles, band keys."""
+    """(row, doc_id, copy, size, bands, sketch): digest of the words, shingles, band keys.
+
+    Texts without words, and those whose words the task has signed before, have no bands.
+    """
     rows = docs.select(F.col(ROW), F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     schema = f"{ROW} long, doc_id long, copy binary, size long, bands array<long>, sketch binary"
     return by_batch(rows, lambda: _sign_batch(rule), schema)
 
 
+def shared_buckets(signed_rows: DataFrame) -> DataFrame:
+    """(bucket, row, n) of the n > 1 different texts of a bucket, each by the first of its rows.
+
+    Keys move once: copies (64 bits agree) are found, counted and dropped where the bucket is. A
+    bucket is read by one task, which gets a row of three numbers per text of it and task that
+    signed one; it holds one of a text's band keys, so even a corpus of near copies alone is
+    dealt to as many tasks as there are bands.
+    """
+    spread = signed_rows.select(F.explode("bands").alias("bucket"), F.xxhash64("copy").alias("same"), ROW)
+    texts = spread.repartition("bucket").groupBy("bucket", "same").agg(F.min(ROW).alias(ROW))
+    counted = texts.withColumn("n", F.count("*").over(Window.partitionBy("bucket")))
+    return counted.where("n > 1").select("bucket", ROW, "n")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b), the root being the least node.
 
@@ -320,17 +354,36 @@ def _cell_links(rule: NearRule):
     return step
 
 
+def _bucket_rows(buckets: pa.ChunkedArray, own: int) -> np.ndarray:
+    """A row of bucket keys per text, filled up with the key they have in common."""
+    lists = buckets.combine_chunks()
+    bounds = lists.offsets.to_numpy()
+    times = np.diff(bounds)
+    out = np.full((len(times), times.max(initial=1)), own, np.int64)
+    out[np.arange(out.shape[1]) < times[:, None]] = lists.values.to_numpy()[bounds[0] : bounds[-1]]
+    return out
+
+
 def _cell_partners(rule: NearRule):
     def step(cell: pa.Table) -> pa.Table:
         side = cell.column("asks").to_numpy()
         asking, asked = cell.filter(pa.array(side)), cell.filter(pa.array(~side))
         x, y = (_sketch_rows(t.column("sketch"), rule) for t in (asking, asked))
         x_label, y_label = asking.column("label").to_numpy(), asked.column("label").to_numpy()
+        x_row, y_row = asking.column(ROW).to_numpy(), asked.column(ROW).to_numpy()
         x_near, y_near = np.zeros(len(x), bool), np.zeros(len(y), bool)
+        own = cell.column("bucket")[0].as_py()
+        x_in, y_in = _bucket_rows(asking.column("buckets"), own), _bucket_rows(asked.column("buckets"), own)
+        # Of two texts that both ask, the first one does.
+        y_asks = asked.column("outside").to_numpy()
         for i in range(len(x)):
             near = (np.count_nonzero(y == x[i], axis=1) >= rule.agreeing) & (y_label != x_label[i])
-            x_near[i] = near.any()
-            y_near |= near
+            near = np.flatnonzero(near & ~(y_asks & (y_row < x_row[i])))
+            # Of the buckets that two texts share, the one with the least key compares them.
+            shared = np.where(np.isin(y_in[near], x_in[i]), y_in[near], own).min(axis=1)
+            near = near[shared == own]
+            x_near[i] = len(near)
+            y_near[near] = True
         kept = pa.concat_tables([asking.filter(pa.array(x_near)), asked.filter(pa.array(y_near))])
         return kept.select(["bucket", "x", "y", "asks", ROW, "label"])
 
@@ -341,19 +394,22 @@ def cells_of(members: DataFrame, labels: DataFrame, sketch: DataFrame, rule: Nea
     """(bucket, x, y, asks, row, label): what the pivots' comparisons leave open.
 
     In each bucket, members outside the pivot's class are compared with all members of other
-    classes. Both sides are dealt into blocks, and a cell of two blocks is one group of
-    bounded size. Sketches move to all cells, and what has a partner there stays in the cell,
-    for the comparison of texts; no pair is a row. A bucket whose members are all alike has
-    no such members and costs nothing.
+    classes but the pivot itself. Both sides are dealt into blocks, and a cell of two blocks is
+    one group of bounded size. Sketches move to all cells, and what has a partner there stays in
+    the cell, for the comparison of texts; no pair is a row. Two texts that meet in several
+    buckets are compared in one of these alone. A bucket whose members are all alike has no such
+    members and costs nothing.
     """
     known = labels.withColumnsRenamed({"node": ROW, "root": "label"})
     # A bucket of two is done with its one pair.
     now = members.where("n > 2").join(known, ROW, "left").withColumn("label", F.coalesce("label", ROW))
     heads = now.where(f"{ROW} = pivot").select("bucket", F.col("label").alias("head"))
-    now = now.join(heads, "bucket").select("bucket", ROW, "n", "label", (F.col("label") != F.col("head")).alias("asks"))
-    now = stored(now, "open")
+    asks = (F.col("label") != F.col("head")).alias("asks")
+    now = stored(now.join(heads, "bucket").select("bucket", ROW, "pivot", "n", "label", asks), "open")
     active = stored(now.where("asks").groupBy("bucket").agg(F.count("*").alias("asking")), "active")
-    now = now.join(active, "bucket")
+    now = stored(now.join(active, "bucket").withColumn("outside", F.col("asks")), "open")
+    # At most one key per band.
+    keys = now.groupBy(ROW).agg(F.collect_list("bucket").alias("buckets"))
 
     def dealt(total: str) -> Column:
         return F.ceil(F.col(total) / rule.block).cast("int")
@@ -365,10 +421,13 @@ def cells_of(members: DataFrame, labels: DataFrame, sketch: DataFrame, rule: Nea
         return F.explode(F.sequence(F.lit(0), dealt(total) - 1))
 
     asking = now.where("asks").withColumn("x", place("asking")).withColumn("y", every("n"))
-    asked = now.withColumn("asks", F.lit(False)).withColumn("y", place("n")).withColumn("x", every("asking"))
-    cells = asking.unionByName(asked).select("bucket", "x", "y", "asks", ROW, "label")
+    # Pivots have been compared with all.
+    asked = now.where(f"{ROW} <> pivot").withColumn("asks", F.lit(False))
+    asked = asked.withColumn("y", place("n")).withColumn("x", every("asking"))
+    cells = asking.unionByName(asked).select("bucket", "x", "y", "asks", "outside", ROW, "label")
     schema = f"bucket long, x int, y int, asks boolean, {ROW} long, label long"
-    return cells.join(sketch, ROW).groupBy("bucket", "x", "y").applyInArrow(_cell_partners(rule), schema)
+    marks = stored(sketch.join(keys, ROW), "marks")
+    return cells.join(marks, ROW).groupBy("bucket", "x", "y").applyInArrow(_cell_partners(rule), schema)
 
 
 def linked(cells: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
@@ -396,26 +455,25 @@ def classes(docs: DataFrame, rule: NearRule | None = None) -> DataFrame:
     rule = rule or NearRule()
     prepare(docs.sparkSession)
     all_rows = stored(signed(docs, rule), "signed")
-    copies = stored(all_rows.groupBy("copy").agg(F.min(ROW).alias("rep")), "copies")
-    texts = all_rows.where("size > 0").join(copies.select(F.col("rep").alias(ROW)), ROW, "left_semi")
-    spread = texts.select(F.explode("bands").alias("bucket"), ROW, "size")
-    # Tables of known size: while small they go to the other side, which then isn't shuffled.
-    shared = stored(spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "shared")
-    members = stored(spread.join(shared, "bucket"), "members")
+    members = stored(shared_buckets(all_rows), "members")
     # The text that shares most buckets with others is the likeliest to be like all of them.
     weights = stored(members.groupBy(ROW).agg(F.sum("n").alias("weight")), "weights")
-    members = stored(members.join(weights, ROW), "members")
+    # Tables of known size: while small they go to the other side, which then isn't shuffled.
+    sketch = stored(all_rows.select(ROW, "size", "sketch").join(weights, ROW), "sketches")
+    members = stored(members.join(sketch.select(ROW, "weight", "size"), ROW), "members")
     order = F.struct("weight", (-F.col(ROW)).alias("before"), "size")
     pivots = members.groupBy("bucket").agg(F.max(order).alias("top"))
     pivots = pivots.select("bucket", (-F.col("top.before")).alias("pivot"), F.col("top.size").alias("pivot_size"))
     members = stored(members.join(pivots, "bucket"), "members")
 
-    sketch = stored(texts.select(ROW, "sketch").join(weights.select(ROW), ROW, "left_semi"), "sketches")
+    sketch = sketch.select(ROW, "sketch")
     pairs = stored(with_pivots(members, sketch, rule), "pairs")
     labels = _relabelled(None, linked(stored(pivot_cells(pairs, rule), "cells"), docs, rule))
     left_over = stored(cells_of(members, labels, sketch, rule), "cells")
     if not left_over.isEmpty():
         labels = _relabelled(labels, linked(left_over, docs, rule))
+    first = F.min(F.when(F.size("bands") > 0, F.col(ROW)))
+    copies = all_rows.groupBy("copy").agg(F.coalesce(first, F.min(ROW)).alias("rep"))
     roots = copies.join(labels.withColumnsRenamed({"node": "rep"}), "rep", "left")
     roots = roots.select("copy", F.coalesce("root", "rep").alias("root"))
     return all_rows.select(ROW, "doc_id", "copy").join(roots, "copy").select(ROW, "doc_id", "root")

@@ -149,3 +149,53 @@ def test_blocks_smaller_than_buckets(spark, make):
     docs = make(rows, "doc_id long, text string")
     got = near_dedup.near_duplicates(docs, NearRule(bands=25, registers=1, block=4)).collect()
     assert {r.doc_id: r.class_id for r in got} == {n: n // 10 * 10 for n, _ in rows}
+
+
+def test_copies_are_signed_once_and_keys_move_once(spark, make):
+    """Copies send their keys once a task, and one exchange finds, counts and drops them."""
+    rng = random.Random(21)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(6)]
+    rows = [(i, texts[i % 6] + "\n" * (i % 3)) for i in range(600)] + [(600, ""), (601, None)]
+    rows += [(700 + i, t + " end") for i, t in enumerate(texts[:4])]
+    docs = near_dedup.numbered(make(rows, "doc_id long, text string").coalesce(1))
+    signed = near_dedup.stored(near_dedup.signed(docs, NearRule()), "signed")
+    assert signed.where("size(bands) > 0").count() == 10
+    first = signed.where("size(bands) > 0").select("doc_id").collect()
+    assert sorted(r.doc_id for r in first) == [0, 1, 2, 3, 4, 5, 700, 701, 702, 703]
+    shared = near_dedup.shared_buckets(signed)
+    plan = shared._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(bucket") == plan.count("Exchange") == 1
+    assert {r.n for r in shared.collect()} == {2}
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs.drop("_near_row")).collect()}
+    assert got == {i: i % 6 for i in range(600)} | {600: 600, 601: 600} | {700 + i: i for i in range(4)}
+    # The same from several tasks, each of which signs its own copies.
+    spread = make(rows, "doc_id long, text string").repartition(5, "doc_id")
+    signed = near_dedup.stored(near_dedup.signed(near_dedup.numbered(spread), NearRule()), "signed")
+    assert signed.where("size(bands) > 0").count() > 10
+    assert {r.n for r in near_dedup.shared_buckets(signed).collect()} == {2}
+    assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spread).collect()} == got
+
+
+def test_a_pair_left_open_is_compared_once(spark, make, monkeypatch):
+    """Families of three below the limit: two pairs are the pivot's, the third goes to one of its buckets."""
+    rng = random.Random(31)
+    rows = []
+    for family in range(60):
+        base = [f"c{rng.randrange(10**6)}" for _ in range(150)]
+        for _ in range(3):
+            words = list(base)
+            for at in rng.sample(range(150), 3):
+                words[at] = f"d{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    moved, linked = [], near_dedup.linked
+
+    def spy(cells, docs, rule):
+        moved.append(cells.collect())
+        return linked(cells, docs, rule)
+
+    monkeypatch.setattr(near_dedup, "linked", spy)
+    check(make(rows, "doc_id long, text string").coalesce(1), rows)
+    families = Counter(r[near_dedup.ROW] // 3 for r in moved[1])
+    assert len(families) > 15 and set(families.values()) == {2}
+    asking = Counter(r[near_dedup.ROW] // 3 for r in moved[1] if r.asks)
+    assert set(asking.values()) == {1}
