@@ -153,8 +153,8 @@ def _sign_batch(rule: NearRule):
     seen: set[bytes] = {EMPTY}
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = [b" ".join(t.encode().split()) for t in batch.column("text").to_pylist()]
-        copies = [xxhash.xxh3_128_digest(w) for w in words]
+        texts = batch.column("text")
+        copies = [xxhash.xxh3_128_digest(b" ".join(t.encode().split())) for t in texts.to_pylist()]
         if len(seen) > REMEMBERED:
             seen.clear()
             seen.add(EMPTY)
@@ -162,7 +162,7 @@ def _sign_batch(rule: NearRule):
         for i, copy in enumerate(copies):
             new[i] = copy not in seen
             seen.add(copy)
-        texts = batch.column("text").filter(pa.array(new))
+        texts = texts.filter(pa.array(new))
         sizes = np.zeros(len(copies), np.int64)
         found, keys, bytes_ = [], [], []
         for start, stop in runs(texts):
