@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faregauge.llm.chunks import ChunkEncoder
-from faregauge.llm.common import by_batch, prepare, text_or_empty
+from faregauge.llm.common import by_batch, by_run, prepare, text_or_empty
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 NEVER = np.int64(1) << 40
@@ -267,7 +267,7 @@ def encode(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), _encoded(path, batch.column("text"))], ["doc_id", "ids"])
 
-    return by_batch(_rows(docs), lambda: step, "doc_id long, ids array<int>")
+    return by_run(_rows(docs), lambda: step, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str = BYTE_BPE) -> DataFrame:
@@ -288,7 +288,7 @@ def encode_decode(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
         texts = pa.array(_decoded(path, lists), pa.string())
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, texts], ["doc_id", "ids", "text"])
 
-    return by_batch(_rows(docs), lambda: step, "doc_id long, ids array<int>, text string")
+    return by_run(_rows(docs), lambda: step, "doc_id long, ids array<int>, text string")
 
 
 def round_trip(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
@@ -305,4 +305,4 @@ def round_trip(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return by_batch(_rows(docs), lambda: step, schema)
+    return by_run(_rows(docs), lambda: step, schema)

@@ -1,5 +1,6 @@
 """Own encoding against the library, on awkward words and on all given texts."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from faregauge.llm import bpe, token_files
+from faregauge.llm.shingles import RUN_BYTES
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -74,3 +76,33 @@ def test_rows_of_every_kind(spark, make, library):
         wanted.append((i, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     assert sorted(map(tuple, got), key=str) == sorted(wanted, key=str)
     assert bpe.round_trip(docs.limit(0)).collect() == []
+
+
+def test_a_step_takes_a_run_of_texts_and_hands_it_over(monkeypatch, library):
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(bpe, "_rows", lambda docs: Rows())
+    texts = [*odd_texts()[:500], *(f"some words of text {i} " * 2000 for i in range(60)), "", "long words " * 300_000, "end"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    given = batch.slice(0, 0), batch
+    wanted = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    for operator in (bpe.encode, bpe.encode_decode, bpe.round_trip):
+        made = list(operator(None)(iter(given)))
+        place = 0
+        for part in made:
+            size = sum(len(t.encode()) for t in texts[place : place + len(part)])
+            assert len(part) == 1 or size <= RUN_BYTES
+            place += len(part)
+        rows = pa.Table.from_batches(made).to_pydict()
+        assert rows["doc_id"] == list(range(len(texts)))
+        if "ids" in rows:
+            assert rows["ids"] == wanted
+        if "text" in rows:
+            assert rows["text"] == texts
+        if "n_tokens" in rows:
+            assert rows["n_tokens"] == [len(ids) for ids in wanted]
+            digests = [hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest() for ids in wanted]
+            assert rows["ids_sha256"] == digests
+            assert rows["decoded_sha256"] == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
