@@ -19,15 +19,15 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import compress
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faregauge.llm.chunks import ChunkEncoder
+from faregauge.llm.chunks import ArrayEncoder, id_lists
 from faregauge.llm.common import by_batch, prepare, text_or_empty
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,7 +40,7 @@ FILE_SCHEMA = "part_no int, doc_id long, first long, n_tokens long, ids array<in
 
 
 @lru_cache(maxsize=2)
-def library_encoder(path: str) -> ChunkEncoder:
+def library_encoder(path: str) -> ArrayEncoder:
     """The tokenizers library behind the chunk memory; one per worker process."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -56,25 +56,20 @@ def library_encoder(path: str) -> ChunkEncoder:
     special = tuple(t.content for t in library.get_added_tokens_decoder().values())
     spaced = np.array([(library.id_to_token(i) or "").startswith(SPACE) for i in range(library.get_vocab_size() + 1)])
 
-    def encode_chunks(chunks: list[str]) -> list[bytes]:
+    def encode_chunks(spaced_chunks: pa.Array, others: pa.Array) -> pa.ListArray:
         """Chunks with a space in front are encoded many at a time, as one text: exactly
         the tokens that start with a space start a chunk."""
-        spaces = [c[:1] == " " and len(c) > 1 for c in chunks]
-        later = list(compress(chunks, spaces))
-        joined = ["".join(later[i : i + JOINED]) for i in range(0, len(later), JOINED)]
-        parts = [np.frombuffer(ids, "<u4") for ids in encode(joined)]
-        ids = np.concatenate(parts) if parts else np.zeros(0, "<u4")
-        starts = (4 * np.append(np.flatnonzero(spaced[ids]), len(ids))).tolist()
-        if len(starts) != len(later) + 1:
+        count = len(spaced_chunks)
+        groups = pa.array(np.append(np.arange(0, count, JOINED), count).astype(np.int32))
+        joined = pc.binary_join(pa.ListArray.from_arrays(groups, spaced_chunks), "").to_pylist()
+        ids = np.frombuffer(b"".join(encode(joined)), "<u4")
+        starts = np.append(np.flatnonzero(spaced[ids]), len(ids))
+        if len(starts) != count + 1:
             raise ValueError("the vocabulary doesn't start a token at every space")
-        whole = ids.tobytes()
-        found = list(map(whole.__getitem__, map(slice, starts[:-1], starts[1:])))
-        if len(later) == len(chunks):
-            return found
-        found, others = iter(found), iter(encode([c for c, space in zip(chunks, spaces, strict=True) if not space]))
-        return [next(found) if space else next(others) for space in spaces]
-
-    return ChunkEncoder(encode_chunks, encode, special)
+        lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids))
+        return pa.concat_arrays([lists, id_lists(encode(others.to_pylist()))])
+
+    return ArrayEncoder(encode_chunks, encode, special)
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,6 +1,7 @@
 """Files of ids: order, starts, coding, and the library's own ids."""
 
 import cProfile
+import gc
 import random
 import zlib
 
@@ -79,3 +80,42 @@ def test_chunks_cost_few_calls_and_survive_small_memory(monkeypatch):
         ids, _ = encoder.encode(pa.array(texts[i : i + 1]))
         assert ids.tolist() == wanted[i]
     token_files.library_encoder.cache_clear()
+
+
+def test_chunks_between_spaces_cost_no_python_call_each():
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choices("abcdeé,.", k=7)) for _ in range(3000)) for _ in range(8)]
+    library = Tokenizer.from_file(token_files.BYTE_BPE)
+    token_files.library_encoder.cache_clear()
+    encoder = token_files.library_encoder(token_files.BYTE_BPE)
+    encoder.encode(pa.array(["what is loaded once", "end "]))
+    gc.collect()
+    profile = cProfile.Profile()
+    ids, bounds = profile.runcall(encoder.encode, pa.array(texts))
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == wanted
+    calls = sum(entry.callcount for entry in profile.getstats())
+    assert calls < len({c for t in texts for c in t.split(" ")}) / 5, calls
+    token_files.library_encoder.cache_clear()
+
+
+def test_memory_is_bounded_and_keeps_what_was_met_last(monkeypatch):
+    monkeypatch.setattr(chunks, "REMEMBERED_BYTES", 60_000)
+    rng = random.Random(11)
+    library = Tokenizer.from_file(token_files.BYTE_BPE)
+    token_files.library_encoder.cache_clear()
+    encoder = token_files.library_encoder(token_files.BYTE_BPE)
+    for step in range(30):
+        texts = ["often met words " + " ".join("".join(rng.choices("abcdé,", k=5)) for _ in range(40)) for _ in range(3)]
+        texts += [["", "two  spaces"], ["<|endoftext|>"], ["漢字 é́ ​", "end "], []][step % 4]
+        batch = pa.array(["before", *texts, "after"]).slice(1, len(texts))
+        ids, bounds = encoder.encode(batch)
+        wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == wanted
+        assert chunks.ARRAY_ENTRY_BYTES * len(encoder._names) < 60_000 + chunks.ARRAY_ENTRY_BYTES * 150
+        assert len(encoder._names) == len(set(encoder._names.to_pylist())) == len(encoder._lists)
+        assert {"often", " met", " words"} <= set(encoder._names.to_pylist())
+    whole = ["x \n y", "end ", "<|endoftext|>"]
+    ids, bounds = encoder.encode(pa.array(whole))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [library.encode(t, add_special_tokens=False).ids for t in whole]
+    token_files.library_encoder.cache_clear()
