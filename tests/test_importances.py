@@ -106,3 +106,10 @@ def test_importance_of_a_constant_feature(spark, wet_tables):
     wanted = by_sql("feature_importance", wet_tables)
     assert sorted(got, key=str) == sorted(wanted, key=str)
     assert [r["feature_name"] for r in got if r["importance_avg"] == "nan"] == ["precipitation_mm"]
+
+
+def test_largest_of_weather_with_a_constant_feature(spark, wet_tables):
+    """What is not a number ranks first, in Spark and in SQL."""
+    got = plain(checked.queries()["n_largest"](spark, wet_tables).toArrow())
+    assert got == by_sql("n_largest", wet_tables)
+    assert [(r["feature_name"], r["importance_avg"] == "nan") for r in got] == [("precipitation_mm", True), ("temperature_c", False)]
